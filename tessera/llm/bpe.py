@@ -150,35 +150,45 @@ class WordBpe:
         return [x.astype("<u4") for x in np.split(flat[left_over], np.cumsum(counts)[:-1])]
 
     def pieces(self, text: str) -> list[str]:
-        """The words of a text without special tokens. Letters beyond Latin-1 go through the library's own normalizer and splitter."""
-        if text.isascii() and text.isprintable() or not _PLAIN.search(text):
-            return _PIECES.findall(text.lower())
+        """The pieces of a text with letters beyond Latin-1, by the library's own normalizer and splitter."""
         split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         byte_of = self.byte_of
         return [bytes(byte_of[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in split]
 
     def encode_batch(self, texts: Iterable[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        """The ids of each text as little-endian unsigned 32-bit integers. No piece holds white space, so the cache goes by what stands between it."""
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+        get = self.cache.get
         parts: list[list[list[str] | bytes]] = []
-        fresh: dict[str, None] = {}
+        fresh: dict[str, list[str]] = {}
         for text in texts:
             own: list[list[str] | bytes] = []
             if text:
                 for k, piece in enumerate(self.cut_special.split(text)) if "<|" in text else ((0, text),):
                     if k % 2:
                         own.append(self.special[piece].to_bytes(4, "little"))
-                    elif piece:
-                        words = self.pieces(piece)
+                        continue
+                    plain = piece.isascii() and piece.isprintable() or not _PLAIN.search(piece)
+                    words = piece.lower().split() if plain else self.pieces(piece)
+                    ids = list(map(get, words))
+                    if None in ids:
                         own.append(words)
-                        fresh.update((w, None) for w in words if w not in cache)
+                        for w, x in zip(words, ids, strict=True):
+                            if x is None and w not in fresh:
+                                fresh[w] = _PIECES.findall(w) if plain else [w]
+                    else:
+                        own.append(b"".join(ids))
             parts.append(own)
-        new = list(fresh)
-        for word, ids in zip(new, self.merge_words([w.encode("utf-8", "surrogateescape") for w in new]), strict=True):
-            cache[word] = ids.tobytes()
-        return [b"".join(x if isinstance(x, bytes) else b"".join(map(cache.__getitem__, x)) for x in own) for own in parts]
+        if fresh:
+            new = list({p for own in fresh.values() for p in own if p not in self.cache})
+            for word, ids in zip(new, self.merge_words([w.encode("utf-8", "surrogateescape") for w in new]), strict=True):
+                self.cache[word] = ids.tobytes()
+            have = self.cache.__getitem__
+            for w, own in fresh.items():
+                self.cache[w] = b"".join(map(have, own))
+        have = self.cache.__getitem__
+        return [b"".join(x if isinstance(x, bytes) else b"".join(map(have, x)) for x in own) for own in parts]
 
     def decode(self, ids: bytes) -> str:
         """The text of the ids, special tokens included: this vocabulary file has no decoder, so its tokens are joined by spaces."""
