@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, decontaminate, langid, pii, quality, simhash, suffixes, urls, warc  # noqa: F401
+from tessera.llm import bpe, decontaminate, langid, passages, pii, quality, simhash, suffixes, urls, warc  # noqa: F401
 from tessera.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
