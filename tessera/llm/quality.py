@@ -15,8 +15,11 @@ from tessera.llm.registry import query
 
 #: Words and word characters from which a histogram counts.
 MIN_WORDS, MIN_CHARS = 80, 200
-#: Jensen-Shannon distances (root of the divergence to base 2) beyond which a document is rejected.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.22, 0.60
+#: Jensen-Shannon distances (root of the divergence to base 2) beyond which a document is rejected: a bound for long documents and a slack over the root of the length, as short histograms scatter.
+MAX_CLASS_DISTANCE, SLACK_CLASS = 0.22, 2.0
+MAX_WORD_DISTANCE, SLACK_WORD = 0.14, 2.0
+#: Share of symbols among word characters up to which a document counts for a reference.
+MAX_REFERENCE_SYMBOLS = 0.02
 #: Documents that a language needs for a reference of its own, and languages with one at most (those with most documents); the rest use the reference over all.
 MIN_REFERENCE_DOCS, MAX_REFERENCES = 20, 1000
 
@@ -84,33 +87,35 @@ def features(docs: DataFrame, row: Column | None = None) -> DataFrame:
 
 
 def references(found: DataFrame) -> DataFrame:
-    """lang, ref_classes and ref_common: sums over the documents that pass the base rules; lang null is the sum over all."""
-    good = found.where(~F.col("base_failed"))
+    """lang, ref_classes and ref_common and their totals: sums over the documents that pass the base rules and have few symbols; lang null is the sum over all."""
+    good = found.where(~F.col("base_failed") & (F.col("n_symbols") <= MAX_REFERENCE_SYMBOLS * F.col("word_chars")))
     sums = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(N_CLASSES)] + [F.sum(F.col("common")[k]).alias(f"v{k}") for k in range(len(COMMON_WORDS) + 1)]
     own = good.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= MIN_REFERENCE_DOCS).orderBy(F.desc("n"), "lang").limit(MAX_REFERENCES)
     both = own.unionByName(good.groupBy().agg(F.lit(None).cast("string").alias("lang"), F.count(F.lit(1)).alias("n"), *sums).where("n > 0"))
-    return both.select("lang", F.array(*[f"c{k}" for k in range(N_CLASSES)]).alias("ref_classes"), F.array(*[f"v{k}" for k in range(len(COMMON_WORDS) + 1)]).alias("ref_common"))
+    classes, words = [f"c{k}" for k in range(N_CLASSES)], [f"v{k}" for k in range(len(COMMON_WORDS) + 1)]
+    return both.select("lang", F.array(*classes).alias("ref_classes"), F.array(*words).alias("ref_common"), F.expr(" + ".join(classes)).alias("ref_chars"), F.expr(" + ".join(words)).alias("ref_words"))
 
 
-def jensen_shannon(a: str, b: str) -> Column:
-    """The distance of two arrays of counts: the root of their divergence to base 2; null if either is empty."""
-    total = "aggregate({0}, 0D, (s, x) -> s + x)"
-    p, q = (f"transform({x}, c -> c / {total.format(x)})" for x in (a, b))
-    half = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / (x.p + x.q)) ELSE 0D END"
-    each = f"zip_with({p}, {q}, (p, q) -> struct(p AS p, q AS q))"
-    div = f"aggregate({each}, 0D, (s, x) -> s + {half.format('x.p')} + {half.format('x.q')})"
-    return F.expr(f"CASE WHEN {total.format(a)} > 0 AND {total.format(b)} > 0 THEN sqrt(greatest(0D, {div} / 2)) END")
+def jensen_shannon(a: str, b: str, total_a: str, total_b: str) -> Column:
+    """The distance of two arrays of counts with these totals: the root of their divergence to base 2; null if either is empty."""
+    part = "CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / (x / {a} + y / {b})) ELSE 0D END"
+    p, q = (part.format(x=f"({v} / {t})", a=total_a, b=total_b) for v, t in (("x", total_a), ("y", total_b)))
+    return F.expr(f"CASE WHEN {total_a} > 0 AND {total_b} > 0 THEN sqrt(greatest(0D, aggregate(zip_with({a}, {b}, (x, y) -> {p} + {q}), 0D, (s, z) -> s + z) / 2)) END")
 
 
 def judged(found: DataFrame) -> DataFrame:
     """The features with the distances to the references, which are made of all of them, and kept."""
     refs = cut(references(found))  # of MAX_REFERENCES + 1 rows at most
-    every = refs.where("lang IS NULL").select(F.col("ref_classes").alias("all_classes"), F.col("ref_common").alias("all_common"))
+    names = ("ref_classes", "ref_common", "ref_chars", "ref_words")
+    every = refs.where("lang IS NULL").select(*(F.col(n).alias(f"all_{n}") for n in names))
     out = found.join(F.broadcast(refs.where("lang IS NOT NULL")), "lang", "left").join(F.broadcast(every), F.lit(True), "left")
-    out = out.withColumn("ref_classes", F.coalesce("ref_classes", "all_classes")).withColumn("ref_common", F.coalesce("ref_common", "all_common"))
-    out = out.withColumn("class_distance", F.when(F.col("word_chars") >= MIN_CHARS, jensen_shannon("classes", "ref_classes")))
-    out = out.withColumn("word_distance", F.when(F.col("n_words") >= MIN_WORDS, jensen_shannon("common", "ref_common")))
-    far = F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
+    for n in names:
+        out = out.withColumn(n, F.coalesce(n, f"all_{n}"))
+    out = out.withColumn("class_distance", F.when(F.col("word_chars") >= MIN_CHARS, jensen_shannon("classes", "ref_classes", "word_chars", "ref_chars")))
+    out = out.withColumn("word_distance", F.when(F.col("n_words") >= MIN_WORDS, jensen_shannon("common", "ref_common", "n_words", "ref_words")))
+    most_class = MAX_CLASS_DISTANCE + SLACK_CLASS / F.sqrt("word_chars")
+    most_word = MAX_WORD_DISTANCE + SLACK_WORD / F.sqrt("n_words")
+    far = F.coalesce(F.col("class_distance") > most_class, F.lit(False)) | F.coalesce(F.col("word_distance") > most_word, F.lit(False))
     return out.withColumn("kept", ~F.col("base_failed") & ~far)
 
 

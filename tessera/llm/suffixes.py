@@ -28,7 +28,9 @@ from tessera.llm.registry import query
 WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 #: Bytes of text in a block and of the input for one hash range, about.
-BLOCK_BYTES, RANGE_BYTES = 16 << 20, 24 << 20
+BLOCK_BYTES, RANGE_BYTES = 8 << 20, 24 << 20
+#: Windows whose hashes are held at once.
+CHUNK = 1 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -96,21 +98,35 @@ class Block:
         self.ends = np.cumsum(self.sizes)
         code = np.frombuffer(self.raw, np.uint8)
         n = len(code)
-        none = np.zeros(0, np.int64)
-        self.first, self.count, self.anchor, self.key, self.doc = none, none, none, none.astype(np.uint64), none
+        starts = self.ends - self.sizes
+        edge = np.zeros(n + 1, np.int32)
+        long = self.sizes >= WIDTH
+        edge[starts[long]] += 1
+        edge[self.ends[long] - WIDTH + 1] -= 1
+        whole = np.cumsum(edge[:n]) > 0
+        # some windows at a time, as hashes take much room; a run cut in two is two runs
+        parts = [self._runs(code, whole, a, min(a + CHUNK, n)) for a in range(0, n, CHUNK)]
+        parts.append([np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)])
+        self.first, self.count, self.anchor, self.key = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.doc = np.searchsorted(self.ends, self.first, side="right")
+
+    @staticmethod
+    def _runs(code: np.ndarray, whole: np.ndarray, start: int, stop: int) -> list[np.ndarray]:
+        """Runs of the windows that begin in start..stop: first window, number, place and hash of the minimizer."""
+        none = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)]
+        code = code[start : stop + WIDTH - 1]
+        n = len(code)
         if n < WIDTH:
-            return
+            return none
         with np.errstate(over="ignore"):
             m = 0x9E3779B97F4A7C15
-            h, step, powers = code.astype(np.uint64) + np.uint64(1), 1, {}
-            while step < GRAM:
+            h, step, eight = code.astype(np.uint64) + np.uint64(1), 1, (None, 0)
+            while step < 16:
                 h = h[:-step] * np.uint64(m) + h[step:]
                 m, step = m * m % (1 << 64), 2 * step
-                powers[step] = h, m
-                if 2 * step > GRAM:
-                    break
-            h, (eight, m8) = powers[16][0], powers[8]
-            h = h[: n - GRAM + 1] * np.uint64(m8) + eight[16 : 16 + n - GRAM + 1]
+                if step == 8:
+                    eight = h, m
+            h = h[: n - GRAM + 1] * np.uint64(eight[1]) + eight[0][16 : 16 + n - GRAM + 1]
             h ^= h >> np.uint64(32)
             h *= np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
@@ -120,22 +136,14 @@ class Block:
             low = np.minimum(low[:-size], low[size:])
             size *= 2
         low = np.minimum(low[: n - WIDTH + 1], low[SPAN - size : SPAN - size + n - WIDTH + 1])
-        starts = self.ends - self.sizes
-        edge = np.zeros(n + 1, np.int32)
-        long = self.sizes >= WIDTH
-        edge[starts[long]] += 1
-        edge[self.ends[long] - WIDTH + 1] -= 1
-        p = np.flatnonzero(np.cumsum(edge)[: n - WIDTH + 1])
+        p = np.flatnonzero(whole[start : start + len(low)])
         if not len(p):
-            return
+            return none
         anchor = (low[p] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         new = np.ones(len(p), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1)
         at = np.flatnonzero(new)
-        self.first, self.anchor = p[at], anchor[at]
-        self.count = np.diff(np.append(at, len(p)))
-        self.key = h[self.anchor]
-        self.doc = np.searchsorted(self.ends, self.first, side="right")
+        return [p[at] + start, np.diff(np.append(at, len(p))), anchor[at] + start, h[anchor[at]]]
 
     def range_of(self, key: np.ndarray, ranges: int) -> np.ndarray:
         return ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
