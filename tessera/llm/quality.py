@@ -30,9 +30,9 @@ COMMON_WORDS = (
     "der die und den von zu das mit sich auf für ist "
     "el los y se del las por con una su para es"
 ).split()
+LONGEST_COMMON = max(len(w.encode()) for w in COMMON_WORDS)
 
-# White space between words.
-_GAP = "\\x20\\x09-\\x0D"
+# Character classes, taken from what the ones before have left; the rest are symbols.
 _CLASSES = ("[a-z]+", "[\\p{Ll}\\p{Lo}\\p{M}]+", "[\\p{Lu}\\p{Lt}]+", "\\p{N}+", "[.,;:!?'\"()-]+")
 N_CLASSES = len(_CLASSES) + 1
 
@@ -42,19 +42,24 @@ def features(docs: DataFrame, row: Column | None = None) -> DataFrame:
     row = F.col("doc_id").cast("long") if row is None else row
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     out = docs.select(row.alias("row"), F.col("lang").cast("string").alias("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang"), t.alias("t"))
-    out = out.select("row", "lang", "t", F.expr(f"regexp_extract_all(t, '[^{_GAP.replace(chr(92), chr(92) * 2)}]+', 0)").alias("w"))
+    gap = F.lit(" \t\n\x0b\x0c\r")
+    out = out.select("row", "lang", "t", F.trim(F.col("t"), gap).alias("tt"))
+    words = F.split("tt", "[\\x20\\x09-\\x0D]+", -1)
+    out = out.select("row", "lang", "t", F.when(F.col("tt") == "", F.array().cast("array<string>")).otherwise(words).alias("w"))
     out = out.select(
         "row",
         "lang",
         "t",
         "w",
         F.array_join("w", "").alias("r0"),
-        F.expr("filter(split(t, '\\n', -1), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')").alias("lines"),
-        F.expr("CASE WHEN size(w) >= 3 THEN transform(sequence(0, size(w) - 3), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2])) ELSE array() END").alias("tri"),
-        F.filter(F.transform("w", lambda x: F.lower(x)), lambda x: x.isin(COMMON_WORDS)).alias("cw"),
+        F.expr("filter(split(t, '\n', -1), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')").alias("lines"),
+        # hashes tell that no window stands twice; where two are equal, the windows themselves are compared
+        F.expr("CASE WHEN size(w) >= 3 THEN transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])) ELSE cast(array() AS array<bigint>) END").alias("tri"),
+        F.transform(F.filter("w", lambda x: (F.octet_length(x) <= LONGEST_COMMON) & F.lower(x).isin(COMMON_WORDS)), lambda x: F.lower(x)).alias("cw"),
     )
     out = out.withColumn("seen", F.size(F.array_distinct("tri")))
-    out = out.withColumn("placed", F.expr("CASE WHEN seen < size(tri) THEN sort_array(transform(tri, (x, i) -> struct(x AS x, i AS i))) ELSE cast(array() AS array<struct<x: string, i: int>>) END"))
+    placed = "sort_array(transform(sequence(0, size(w) - 3), i -> struct(concat_ws(' ', w[i], w[i + 1], w[i + 2]) AS x, i AS i)))"
+    out = out.withColumn("placed", F.expr(f"CASE WHEN seen < size(tri) THEN {placed} ELSE cast(array() AS array<struct<x: string, i: int>>) END"))
     # places of windows that equal a neighbour in the sorted order
     out = out.withColumn(
         "hits",
