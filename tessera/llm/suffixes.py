@@ -28,9 +28,9 @@ from tessera.llm.registry import query
 WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 #: Bytes of text in a block and of the input for one hash range, about.
-BLOCK_BYTES, RANGE_BYTES = 8 << 20, 24 << 20
+BLOCK_BYTES, RANGE_BYTES = 3 << 20, 12 << 20
 #: Windows whose hashes are held at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _LAST = np.iinfo(np.int64).max
 
 
@@ -103,7 +103,7 @@ class Block:
         long = self.sizes >= WIDTH
         edge[starts[long]] += 1
         edge[self.ends[long] - WIDTH + 1] -= 1
-        whole = np.cumsum(edge[:n]) > 0
+        whole = np.cumsum(edge[:n], dtype=np.int32) > 0
         # some windows at a time, as hashes take much room; a run cut in two is two runs
         parts = [self._runs(code, whole, a, min(a + CHUNK, n)) for a in range(0, n, CHUNK)]
         parts.append([np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)])
@@ -389,7 +389,7 @@ def _remove(ranges: int, with_text: bool):
                     at = first[(k < count) & (mask >> np.uint32(k) & np.uint32(1) == 1)] + k
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + WIDTH, -1)
-            gone = np.cumsum(edge)[:-1] > 0
+            gone = np.cumsum(edge, dtype=np.int32)[:-1] > 0
             code = np.frombuffer(block.raw, np.uint8)
             for i, no_id, n, end in zip(block.ids.tolist(), block.no_id.tolist(), block.sizes.tolist(), block.ends.tolist(), strict=True):
                 cut_here = gone[end - n : end]
