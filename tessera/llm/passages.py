@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, stored
 from tessera.llm.registry import query
-from tessera.llm.suffixes import _LAST, _MESSAGE_SQL, RANGE_BYTES, _answer_hashes, _flags, _pack, _rows, _unpack, blocks
+from tessera.llm.suffixes import _MESSAGE_SQL, RANGE_BYTES, _answer_hashes, _flags, _pack, _rows, _unpack, blocks, by_range, distinct
 
 SHINGLE, MIN_WORDS, SIMILARITY, HASHES, ENOUGH = 5, 50, 0.8, 5, 2
 TOKENS = MIN_WORDS - SHINGLE + 1
@@ -137,15 +137,7 @@ class Windows:
 
     def hashes(self, ranges: int):
         """(range, sorted distinct token hashes, whether two of the block's documents have each)."""
-        order = np.lexsort((self.ids[self.text], self.key))
-        key, ids = self.key[order], self.ids[self.text][order]
-        head = np.flatnonzero(np.diff(key, prepend=~key[:1]) != 0) if len(key) else np.zeros(0, int)
-        last = np.append(head[1:], len(key)) - 1
-        key, several = key[head], ids[head] != ids[last] if len(key) else np.zeros(0, bool)
-        r = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-        for k in np.unique(r).tolist():
-            a, b = np.searchsorted(r, [k, k + 1])
-            yield k, key[a:b], several[a:b]
+        return by_range(*distinct(self.key, self.ids[self.text])[:2], ranges)
 
 
 def _send(ranges: int):

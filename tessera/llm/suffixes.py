@@ -45,7 +45,7 @@ def _pack(*arrays: np.ndarray | bytes) -> bytes:
         else:
             kind, raw = "raw", a
         out.append(f"{kind}:{len(raw)};".encode() + raw)
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
 def _unpack(blob: bytes) -> list:
@@ -145,51 +145,58 @@ class Block:
         at = np.flatnonzero(new)
         return [p[at] + start, np.diff(np.append(at, len(p))), anchor[at] + start, h[anchor[at]]]
 
-    def range_of(self, key: np.ndarray, ranges: int) -> np.ndarray:
-        return ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-
     def hashes(self, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(range, sorted distinct hashes, whether two of the block's documents have each)."""
-        order = np.lexsort((self.ids[self.doc], self.key))
-        key, ids = self.key[order], self.ids[self.doc][order]
-        head = np.flatnonzero(np.diff(key, prepend=~key[:1]) != 0) if len(key) else np.zeros(0, int)
-        last = np.append(head[1:], len(key)) - 1
-        key, several = key[head], ids[head] != ids[last] if len(key) else np.zeros(0, bool)
-        r = self.range_of(key, ranges)
-        for k in np.unique(r).tolist():
-            a, b = np.searchsorted(r, [k, k + 1])
-            yield k, key[a:b], several[a:b]
+        return by_range(*distinct(self.key, self.ids[self.doc])[:2], ranges)
 
     def entries(self, ranges: int, shared: dict[int, np.ndarray]):
-        """The distinct suffixes that are left, by range and in order: (range, [(suffix, bytes before it)], smallest id of each), and for each run of windows left its place in them. shared: by range, flags of the sorted distinct hashes."""
-        keys = {k: (key, shared[k]) for k, key, _ in self.hashes(ranges) if k in shared}
+        """The distinct suffixes that are left, by range and in order: (range, suffix, bytes before it); the smallest id of each; the runs of windows that are left; and the place of each in the distinct ones. shared: by range, flags of the sorted distinct hashes."""
+        key, several, order, member = distinct(self.key, self.ids[self.doc])
+        flags = [shared.get(r, np.zeros(len(k), bool)) for r, k, _ in by_range(key, several, ranges)]
         left = np.zeros(len(self.key), bool)
-        r = self.range_of(self.key, ranges)
-        for k, (key, flags) in keys.items():
-            mine = np.flatnonzero(r == k)
-            left[mine] = flags[np.searchsorted(key, self.key[mine])]
+        if flags:
+            left[order] = np.concatenate(flags)[member]
         runs = np.flatnonzero(left)
-        raw, place, found = self.raw, [], {}
-        ids = self.ids[self.doc[runs]].tolist()
-        for k, f, a, n, i in zip(r[runs].tolist(), self.first[runs].tolist(), self.anchor[runs].tolist(), self.count[runs].tolist(), ids, strict=True):
-            entry = k, raw[a : f + n + WIDTH - 1], raw[f:a]
-            have = found.get(entry)
-            if have is None or i < have:
+        r = range_of(self.key[runs], ranges).tolist()
+        f, a = self.first[runs], self.anchor[runs]
+        raw, ids = self.raw, self.ids[self.doc[runs]].tolist()
+        place = [(k, raw[j:e], raw[i:j]) for k, i, j, e in zip(r, f.tolist(), a.tolist(), (f + self.count[runs] + WIDTH - 1).tolist(), strict=True)]
+        found: dict[tuple[int, bytes, bytes], int] = {}
+        for entry, i in zip(place, ids, strict=True):
+            if found.setdefault(entry, i) > i:
                 found[entry] = i
-            place.append(entry)
-        order = sorted(found)
-        rank = {e: k for k, e in enumerate(order)}
-        return order, [found[e] for e in order], runs, np.array([rank[e] for e in place], np.int64)
+        every = sorted(found)
+        rank = dict(zip(every, range(len(every)), strict=True))
+        return every, list(map(found.__getitem__, every)), runs, np.fromiter(map(rank.__getitem__, place), np.int64, len(place))
+
+
+def range_of(key: np.ndarray, ranges: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def distinct(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, whether each has several ids, the order that sorts the keys, and the place in the distinct ones of each in that order."""
+    if not len(key):
+        return key, np.zeros(0, bool), np.zeros(0, int), np.zeros(0, int)
+    order = np.argsort(key)
+    key, ids = key[order], ids[order]
+    new = np.append(True, key[1:] != key[:-1])
+    head = np.flatnonzero(new)
+    return key[head], np.minimum.reduceat(ids, head) != np.maximum.reduceat(ids, head), order, np.cumsum(new) - 1
+
+
+def by_range(key: np.ndarray, several: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    r = range_of(key, ranges)
+    for k in np.unique(r).tolist():
+        a, b = np.searchsorted(r, [k, k + 1])
+        yield k, key[a:b], several[a:b]
 
 
 def common_prefix(a: bytes, b: bytes, known: int) -> int:
-    """How many first bytes are equal; so many are known to be."""
+    """How many first bytes are equal; so many are known to be. The highest bit in which the rests differ tells."""
     n = min(len(a), len(b))
-    if a[known:n] == b[known:n]:
-        return n
-    while a[known] == b[known]:
-        known += 1
-    return known
+    x = int.from_bytes(a[known:n]) ^ int.from_bytes(b[known:n])
+    return n - ((x.bit_length() + 7) >> 3)
 
 
 def front_code(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -359,7 +366,7 @@ def _answer_suffixes(table: pa.Table) -> pa.Table:
     held: list[tuple[int, int]] = []
 
     def settle() -> None:
-        if len({ids[r][k] for r, k in held}) > 1:
+        if len(held) > 1 and len({ids[r][k] for r, k in held}) > 1:
             for (r, k), mask in zip(held, window_masks([(runs[r][k], before[r][k], ids[r][k]) for r, k in held]), strict=True):
                 masks[r][k] = mask
 
@@ -385,6 +392,12 @@ def _remove(ranges: int, with_text: bool):
                 count, first = block.count[runs], block.first[runs]
                 # a later document of the block has every window of a string that an earlier one has
                 mask = np.where(block.ids[block.doc[runs]] > np.array(low)[place], np.uint32(0xFFFFFFFF), told[place])
+                full = mask == 0xFFFFFFFF
+                full |= mask == (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
+                np.add.at(edge, first[full], 1)
+                np.add.at(edge, first[full] + count[full] + WIDTH - 1, -1)
+                some = ~full & (mask > 0)
+                count, first, mask = count[some], first[some], mask[some]
                 for k in range(SPAN):
                     at = first[(k < count) & (mask >> np.uint32(k) & np.uint32(1) == 1)] + k
                     np.add.at(edge, at, 1)
