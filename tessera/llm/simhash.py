@@ -177,7 +177,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     found = cut(fingerprints_of(docs))
     first = cut(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
     linked = groups(first).withColumnRenamed("first", "low")
-    named = first.join(linked, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
+    # stored, so that the join below has a shuffle alone on each side and a fingerprint of many documents can be split
+    named = cut(first.join(linked, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")))
     return found.join(named, "fp").select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 

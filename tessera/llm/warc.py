@@ -237,19 +237,19 @@ def records(packed: DataFrame) -> DataFrame:
 
 ORACLE = """
 WITH own AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
-firsts AS (SELECT page_id, octet_length(payload) AS payload_bytes, upper(sha1(payload)) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM own),
-bits AS (
-    SELECT *, list_reduce([CASE WHEN true THEN (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * g, 5))::BIGINT >> (15 - 5 * k)) & 31)::INT, 1), '' ORDER BY g, k)
-        FROM range(8) AS a(g), range(4) AS b(k)) END], lambda x, y: x || y) AS payload_digest
-    FROM firsts)
+firsts AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM own),
+letters AS (
+    SELECT page_id, 4 * g + k AS place, substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * g, 5))::BIGINT >> (15 - 5 * k)) & 31)::INT, 1) AS letter
+    FROM firsts, range(8) AS a(g), range(4) AS b(k)),
+digests AS (SELECT page_id, string_agg(letter, '' ORDER BY place) AS payload_digest FROM letters GROUP BY page_id)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id > first THEN first END AS refers_to
-FROM bits
+FROM firsts JOIN digests USING (page_id)
 """
 
 
-@query("op8_warc")
+@query("op8_warc", ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = stored(archives(spark.read.parquet(f"{sf_dir}/pages.parquet")), "archives")
     return records(packed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
