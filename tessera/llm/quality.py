@@ -103,9 +103,9 @@ def references(found: DataFrame) -> DataFrame:
 
 def jensen_shannon(a: str, b: str, total_a: str, total_b: str) -> Column:
     """The distance of two arrays of counts with these totals: the root of their divergence to base 2; null if either is empty."""
-    part = "CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / (x / {a} + y / {b})) ELSE 0D END"
-    p, q = (part.format(x=f"({v} / {t})", a=total_a, b=total_b) for v, t in (("x", total_a), ("y", total_b)))
-    return F.expr(f"CASE WHEN {total_a} > 0 AND {total_b} > 0 THEN sqrt(greatest(0D, aggregate(zip_with({a}, {b}, (x, y) -> {p} + {q}), 0D, (s, z) -> s + z) / 2)) END")
+    part = "CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / (_x / {a} + _y / {b})) ELSE 0D END"
+    p, q = (part.format(x=f"({v} / {t})", a=total_a, b=total_b) for v, t in (("_x", total_a), ("_y", total_b)))
+    return F.expr(f"CASE WHEN {total_a} > 0 AND {total_b} > 0 THEN sqrt(greatest(0D, aggregate(zip_with({a}, {b}, (_x, _y) -> {p} + {q}), 0D, (_s, _z) -> _s + _z) / 2)) END")
 
 
 def judged(found: DataFrame) -> DataFrame:
