@@ -28,7 +28,7 @@ from tessera.llm.registry import query
 WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 #: Bytes of text in a block and of the input for one hash range, about.
-BLOCK_BYTES, RANGE_BYTES = 3 << 20, 12 << 20
+BLOCK_BYTES, RANGE_BYTES = 6 << 20, 12 << 20
 #: Windows whose hashes are held at once.
 CHUNK = 1 << 18
 _LAST = np.iinfo(np.int64).max
@@ -45,7 +45,7 @@ def _pack(*arrays: np.ndarray | bytes) -> bytes:
         else:
             kind, raw = "raw", a
         out.append(f"{kind}:{len(raw)};".encode() + raw)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
 def _unpack(blob: bytes) -> list:
@@ -143,7 +143,10 @@ class Block:
         new = np.ones(len(p), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1)
         at = np.flatnonzero(new)
-        return [p[at] + start, np.diff(np.append(at, len(p))), anchor[at] + start, h[anchor[at]]]
+        # the smallest of many hashes is small, so they are mixed anew before ranges deal them out
+        with np.errstate(over="ignore"):
+            key = h[anchor[at]] * np.uint64(0x9E3779B97F4A7C15)
+        return [p[at] + start, np.diff(np.append(at, len(p))), anchor[at] + start, key ^ (key >> np.uint64(32))]
 
     def hashes(self, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(range, sorted distinct hashes, whether two of the block's documents have each)."""
