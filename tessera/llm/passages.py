@@ -299,8 +299,10 @@ def near_duplicate_passages(docs: DataFrame) -> DataFrame:
     )
     dealt = pairs.repartition("a", "b").sortWithinPartitions("a", "bid_a", "b", "bid_b")
     found = stored(dealt.mapInArrow(_candidates, "a long, bid_a long, b long, bid_b long, a_lo long, a_hi long, b_lo long, b_hi long"), "candidates")
-    wanted = found.select(F.col("a").alias("doc"), F.col("bid_a").alias("bid")).unionByName(found.select(F.col("b").alias("doc"), F.col("bid_b").alias("bid"))).distinct()
-    tokens = stored(packed.groupBy("bid").cogroup(wanted.groupBy("bid")).applyInArrow(_tokens_of, "doc long, tokens array<int>").dropDuplicates(["doc"]), "tokens")
+    wanted = found.select(F.col("a").alias("doc"), F.col("bid_a").alias("bid")).unionByName(found.select(F.col("b").alias("doc"), F.col("bid_b").alias("bid")))
+    # of rows of one id those of one block stand for all
+    wanted = wanted.groupBy("doc").agg(F.min("bid").alias("bid"))
+    tokens = stored(packed.groupBy("bid").cogroup(wanted.groupBy("bid")).applyInArrow(_tokens_of, "doc long, tokens array<int>"), "tokens")
 
     def part(side: str):
         return F.slice("tokens", F.col(f"{side}_lo").cast("int") + 1, (F.col(f"{side}_hi") - F.col(f"{side}_lo") + 1).cast("int"))
