@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import alias, identity, text
 from tessera.functions.numbers import finite
 from tessera.operators import calibrate, gates, rows, sampling
+from tessera.session import cut
 
 #: String fields of a record that jobs look at.
 NAMES = "key id item_id item_name record_id utt_id control_candidate_id text clean_text audio audio_path audio_path_raw wav_path source dataset_source control_source speaker_id gender recording_group control_tag speed_label effort_label control_dataset_role ref_audio style voice_style status alignment_status asr_cer alignment_coverage speech_cps".split()
@@ -102,7 +103,8 @@ def gated_records(scan: DataFrame, plan: CandidatePlan = CandidatePlan()) -> Dat
     reason = F.coalesce(early, style, F.col("alignment_reason"), F.when(F.col("resolved").isNull(), "missing_audio"))
     speed = gates.speed_reason(plan.speed, F.col("text"), F.col("is_proxy") if plan.proxy_events else None)
     df = df.withColumn("reason", reason).withColumn("speed_reason", F.when(F.col("reason").isNull(), speed))
-    return df.withColumn("effort_reason", F.when(F.col("reason").isNull(), F.col("effort_reason")))
+    # calibration and labels read this more than once, and a filter on a reason would else carry all of its making into the scan
+    return cut(df.withColumn("effort_reason", F.when(F.col("reason").isNull(), F.col("effort_reason"))))
 
 
 def labelled(found: DataFrame, plan: CandidatePlan = CandidatePlan()) -> DataFrame:

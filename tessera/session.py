@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,3 +28,11 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table of a data folder. Any store that Spark reads will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, stored in the folder that driver and executors share (spark.checkpoint.dir), for plans that read them more than once; only where that is unset, as in tests, a local folder is made."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="scratch-"))
+    return df.checkpoint(eager=True)
