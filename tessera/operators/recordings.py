@@ -8,6 +8,7 @@ import shutil
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,8 +105,6 @@ def with_model(df: DataFrame, key: str, content: str, load: Callable[[], Callabl
                     rows.append({n: out.get(n) for n in names} | {"model_error": None})
                 except Exception as e:  # noqa: BLE001
                     rows.append({n: None for n in names} | {"model_error": f"{type(e).__name__}: {e}"})
-            import pandas as pd
-
             table = pd.DataFrame(rows, columns=[*names, "model_error"])
             table.insert(0, key, batch.column(0).to_pandas())
             yield pa.RecordBatch.from_pandas(table, preserve_index=False)
@@ -147,7 +146,8 @@ def materialized(df: DataFrame, source: str, target: str, mode: str = "copy") ->
                     rows.append((None, f"{type(e).__name__}: {e}"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], [*names, "materialization", "materialization_error"])
 
-    return df.mapInArrow(run, df.schema.add("materialization", "string").add("materialization_error", "string"))
+    told = [T.StructField(n, T.StringType()) for n in ("materialization", "materialization_error")]
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *told]))
 
 
 def rendered(df: DataFrame, key: str, content: str, **how) -> DataFrame:

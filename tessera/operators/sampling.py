@@ -56,9 +56,8 @@ def stratified(df: DataFrame, tag: str, strata: list[str], key: str, seed: int,
     """A sample as balanced over strata as their sizes allow; quotas are one row for each stratum."""
     q = quotas(df, tag, strata, count).drop("size")
     order = W.partitionBy(tag, *strata).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
-    on = [df[c].eqNullSafe(q[c]) for c in (tag, *strata)]
     ranked = df.withColumn("_rank", F.row_number().over(order))
-    kept = ranked.join(q, [ranked[c].eqNullSafe(q[c]) for c in (tag, *strata)]).where("_rank <= quota") if on else ranked
+    kept = ranked.join(q, [ranked[c].eqNullSafe(q[c]) for c in (tag, *strata)]).where("_rank <= quota")
     return kept.select(*(ranked[c] for c in df.columns))
 
 

@@ -493,3 +493,39 @@ def cjk_filter(spark, sf):
     made = literal(spark, "id long, text string", [(1, "你好，世界。"), (2, "你好 world"), (3, "你好3"), (4, "，。")])
     docs = table(spark, sf, "documents").select((F.col("doc_id") + 10).alias("id"), "text")
     return made.unionByName(docs).select("id", text.is_cjk_only(F.col("text")).alias("ok"))
+
+
+@query("audio_measures")
+def audio_measures(spark, sf):
+    from tessera.operators import recordings
+
+    return recordings.measured_samples(table(spark, sf, "embeddings"), "vec_id", "embedding", 2000)
+
+
+@query(
+    "character_alignment",
+    "SELECT doc_id, length(t)::BIGINT AS n FROM (SELECT doc_id, substr(regexp_replace(text, '[^a-z]', '', 'g'), 1, 40) AS t FROM documents)",
+)
+def character_alignment(spark, sf):
+    from tessera.operators import recordings
+
+    cut = F.substring(F.regexp_replace("text", "[^a-z]", ""), 1, 40)
+    letters = F.filter(F.split(cut, ""), lambda x: x != "")
+    seen = F.transform(letters, lambda x, k: F.struct(x.alias("character"), (k * 0.1).cast("double").alias("start"), (k * 0.1 + 0.1).cast("double").alias("end"), F.lit(1.0).alias("score")))
+    docs = table(spark, sf, "documents").select("doc_id", letters.alias("e"), seen.alias("o"), F.lit(100.0).alias("d"))
+    return recordings.align_characters(docs, "doc_id", "e", "o", "d").select("doc_id", F.col("timed").alias("n"))
+
+
+@query(
+    "review_list",
+    "WITH t AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'speed_fast' WHEN '5-LOW' THEN 'speed_slow' ELSE 'speed_normal' END AS control_tag, o_orderkey::VARCHAR AS id, o_totalprice AS v FROM orders), "
+    "m AS (SELECT quantile_cont(v, 0.5) AS median FROM t WHERE control_tag = 'speed_normal'), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY control_tag ORDER BY CASE control_tag WHEN 'speed_fast' THEN -v WHEN 'speed_slow' THEN v ELSE abs(v - median) END, id) AS k FROM t, m) "
+    "SELECT control_tag, id, row_number() OVER (PARTITION BY control_tag ORDER BY CASE control_tag WHEN 'speed_fast' THEN -v ELSE v END, id) AS rank FROM r WHERE k <= 20",
+)
+def review_list(spark, sf):
+    from tessera.plans import curation
+
+    tag = F.when(F.col("o_orderpriority") == "1-URGENT", "speed_fast").when(F.col("o_orderpriority") == "5-LOW", "speed_slow").otherwise("speed_normal")
+    found = table(spark, sf, "orders").select(tag.alias("control_tag"), F.col("o_orderkey").cast("string").alias("control_candidate_id"), F.col("o_totalprice").alias("sort_value"))
+    return curation.review_list(found, 20).select("control_tag", F.col("control_candidate_id").alias("id"), "rank")

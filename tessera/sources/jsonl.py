@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def read_jsonl(spark: SparkSession, paths: str | list[str], manifest: int = 0) -> DataFrame:
@@ -24,7 +25,7 @@ def with_ordinal(df: DataFrame, order: list[str]) -> DataFrame:
     """Rows with their ordinal from 0 in this order: sizes of the sorted partitions are counted and summed, and each partition numbers its own rows."""
     names = df.columns
     ordered = df.orderBy(*order)
-    return ordered.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(df.schema.add("ordinal", "long")).select(*names, "ordinal")
+    return ordered.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(StructType([*df.schema.fields, StructField("ordinal", LongType())])).select(*names, "ordinal")
 
 
 def write_jsonl(df: DataFrame, path: str, order: list[str], columns: list[str] | None = None, strict: bool = False) -> None:
