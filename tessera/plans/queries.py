@@ -159,9 +159,9 @@ def duplicate_first_line(spark, sf):
     return rows.first_of_key(docs, ["k"], "doc_id", "first_line").where("first_line < doc_id").select("doc_id", "first_line")
 
 
-@query("shard_mod", "SELECT doc_id % 4 AS shard, count(*) AS n, min(doc_id) AS low FROM documents WHERE doc_id < 500 AND source <> 'src0' GROUP BY 1")
+@query("shard_mod", "SELECT doc_id % 4 AS shard, count(*) AS n, min(doc_id) AS low FROM documents GROUP BY 1")
 def shard_mod(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source").where("doc_id < 500 AND source <> 'src0'")
+    docs = table(spark, sf, "documents").select("doc_id")
     parts = [rows.shard(docs, "doc_id", 4, k).select(F.lit(k).cast("long").alias("shard"), "doc_id") for k in range(4)]
     out = parts[0]
     for p in parts[1:]:
@@ -296,10 +296,10 @@ def token_units(spark, sf):
 _FAMILY_WANT = [(1, "happy", "breath"), (2, "transition", "cry,hold"), (3, "no_emotion", ""), (4, "no_emotion", ""), (5, "no_emotion", ""), (6, "calm", "laugh")]
 
 
-@query("emotion_family", f"SELECT id, family FROM {values_sql(['id', 'family', 'events'], _FAMILY_WANT)} UNION ALL SELECT doc_id, 'no_emotion' FROM documents WHERE doc_id > 10")
+@query("emotion_family", f"SELECT id, family FROM {values_sql(['id', 'family', 'events'], _FAMILY_WANT)} UNION ALL SELECT doc_id + 100, 'no_emotion' FROM documents")
 def emotion_family(spark, sf):
     marked = literal(spark, "id long, text string", _MARKED)
-    docs = table(spark, sf, "documents").where("doc_id > 10").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf, "documents").select((F.col("doc_id") + 100).alias("id"), "text")
     return marked.unionByName(docs).select("id", text.emotion_family("text").alias("family"))
 
 
@@ -315,11 +315,11 @@ def normalized_transcripts(spark, sf):
 
 @query(
     "cer_pairs",
-    "WITH d AS (SELECT doc_id, substr(regexp_replace(text, '[^a-zA-Z ]', '', 'g'), 1, 80) AS a FROM documents), b AS (SELECT item_id, substr(regexp_replace(text, '[^a-zA-Z ]', '', 'g'), 1, 80) AS b FROM benchmark) "
+    "WITH d AS (SELECT doc_id, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS a FROM documents), b AS (SELECT item_id, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS b FROM benchmark) "
     "SELECT doc_id, item_id, round(levenshtein(a, b) / length(a)::DOUBLE, 6) AS cer FROM d JOIN b ON doc_id % 40 = item_id WHERE length(a) > 0",
 )
 def cer_pairs(spark, sf):
-    cut = lambda c: F.substring(F.regexp_replace(c, "[^a-zA-Z ]", ""), 1, 80)
+    cut = lambda c: F.regexp_replace(c, "[^a-zA-Z ]", "")
     d = table(spark, sf, "documents").select("doc_id", cut("text").alias("a"))
     b = table(spark, sf, "benchmark").select("item_id", cut("text").alias("b"))
     out = d.join(b, F.pmod("doc_id", F.lit(40)) == F.col("item_id")).where(F.length("a") > 0)
@@ -363,9 +363,9 @@ def frame_windows(spark, sf):
 _VARIANTS = [("plain", ""), *((t, f"【{t}】") for t in text.CONTROL_TAGS)]
 
 
-@query("eval_variants", f"SELECT conv_id, turn, variant, prefix || text AS text FROM conversations, {values_sql(['variant', 'prefix'], _VARIANTS)} WHERE turn = 0")
+@query("eval_variants", f"SELECT conv_id, turn, variant, prefix || text AS text FROM conversations, {values_sql(['variant', 'prefix'], _VARIANTS)}")
 def eval_variants(spark, sf):
-    turns = table(spark, sf, "conversations").where("turn = 0").select("conv_id", "turn", "text")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return rows.variants(turns, _VARIANTS).select("conv_id", "turn", "variant", F.concat("prefix", "text").alias("text"))
 
 
@@ -502,17 +502,13 @@ def audio_measures(spark, sf):
     return recordings.measured_samples(table(spark, sf, "embeddings"), "vec_id", "embedding", 2000)
 
 
-@query(
-    "character_alignment",
-    "SELECT doc_id, length(t)::BIGINT AS n FROM (SELECT doc_id, substr(regexp_replace(text, '[^a-z]', '', 'g'), 1, 40) AS t FROM documents)",
-)
+@query("character_alignment", "SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z]+')) AS n FROM documents")
 def character_alignment(spark, sf):
     from tessera.operators import recordings
 
-    cut = F.substring(F.regexp_replace("text", "[^a-z]", ""), 1, 40)
-    letters = F.filter(F.split(cut, ""), lambda x: x != "")
-    seen = F.transform(letters, lambda x, k: F.struct(x.alias("character"), (k * 0.1).cast("double").alias("start"), (k * 0.1 + 0.1).cast("double").alias("end"), F.lit(1.0).alias("score")))
-    docs = table(spark, sf, "documents").select("doc_id", letters.alias("e"), seen.alias("o"), F.lit(100.0).alias("d"))
+    units = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    seen = F.transform(units, lambda x, k: F.struct(F.lower(x).alias("character"), (k * 0.1).cast("double").alias("start"), (k * 0.1 + 0.1).cast("double").alias("end"), F.lit(1.0).alias("score")))
+    docs = table(spark, sf, "documents").select("doc_id", units.alias("e"), seen.alias("o"), F.lit(1e9).alias("d"))
     return recordings.align_characters(docs, "doc_id", "e", "o", "d").select("doc_id", F.col("timed").alias("n"))
 
 
