@@ -5,7 +5,7 @@ A document's tokens are the shingles of five words. Under a hash function, all s
 1. Documents are packed into compressed blocks (as for exact dedup); each block sends its windows' token hashes and hears which of them another document has too.
 2. What is left meets by token: each window with the window of the smallest and of the largest document that has it, so the rows stay in proportion to the windows and no pairs within a group are made.
 3. Windows of two documents are joined over all hash functions: where those of at least ENOUGH functions overlap in both documents, the stretch is a candidate.
-4. Candidates are verified on the shingles themselves: chains of shared shingles in both texts are split at their widest gaps until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
+4. Candidates are verified on the shingles themselves: shared shingles are chained over all their places in the other text with the least jumps, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
 A passage that stands in both texts word for word shares its token under every function and is always found. One of similarity s is found if enough of HASHES functions agree, with chance 0.993 at s = 0.8.
 
@@ -234,35 +234,105 @@ def _tokens_of(key, left: pa.Table, right: pa.Table) -> pa.Table:
     return _rows(rows, [("doc", pa.int64()), ("tokens", pa.list_(pa.int32()))])
 
 
+def _run(x: np.ndarray, y: np.ndarray) -> int:
+    """How many tokens at the start are equal."""
+    n, step = min(len(x), len(y)), 64
+    for k in range(0, n, step):
+        differ = np.flatnonzero(x[k : min(n, k + step)] != y[k : min(n, k + step)])
+        if len(differ):
+            return k + int(differ[0])
+    return n
+
+
+def _places(i: np.ndarray, first: np.ndarray, times: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For tokens at places i of x, each at order[first : first + times] in y (rising): of all its places the ones that make the way through y with the least sum of jumps off the diagonal."""
+    j = order[first].copy()
+    if (times == 1).all():
+        return j
+    n, k = len(i), 0
+    back: list[np.ndarray] = []
+    start, held = 0, 0
+    cost = at = np.zeros(0, np.int64)
+
+    def settle(stop: int) -> None:
+        p = int(cost.argmin())
+        for k in range(stop - 1, start - 1, -1):
+            j[k] = order[first[k] + p]
+            p = int(back[k - start][p])
+
+    for k in range(n):
+        here = order[first[k] : first[k] + times[k]]
+        if not k:
+            back, cost, at = [np.zeros(len(here), np.int64)], np.zeros(len(here), np.int64), here
+            continue
+        if times[k] == 1 and len(at) == 1:
+            back.append(np.zeros(1, np.int64))
+            at = here
+            continue
+        # the nearest way from the left and from the right, by running minima over the last token's places
+        aim = at + (i[k] - i[k - 1])
+        left, right = np.minimum.accumulate(cost - aim), np.minimum.accumulate((cost + aim)[::-1])[::-1]
+        p = np.searchsorted(aim, here, side="right")
+        down = np.where(p > 0, left[np.maximum(p - 1, 0)] + here, np.iinfo(np.int64).max)
+        up = np.where(p < len(aim), right[np.minimum(p, len(aim) - 1)] - here, np.iinfo(np.int64).max)
+        new = np.arange(len(aim))
+        best_left = np.maximum.accumulate(np.where(cost - aim == left, new, 0))
+        best_right = np.minimum.accumulate(np.where(cost + aim == right, new, len(aim))[::-1])[::-1]
+        back.append(np.where(down <= up, best_left[np.maximum(p - 1, 0)], best_right[np.minimum(p, len(aim) - 1)]))
+        cost, at = np.minimum(down, up), here
+        held += len(here)
+        if held > 1 << 22:  # of texts that repeat themselves throughout, the way so far is settled
+            settle(k + 1)
+            p = int(cost.argmin())
+            start, held, back, cost, at = k + 1, 0, [], cost[p : p + 1], at[p : p + 1]
+    if start < n:
+        settle(n)
+    return j
+
+
 def similar_stretches(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, float]]:
-    """(first, last of x, first, last of y, similarity) of disjoint stretches of shared tokens that are long and similar enough."""
+    """(first, last of x, first, last of y, similarity) of stretches of shared tokens that are long and similar enough, none inside another."""
     found: list[tuple[int, int, int, int, float]] = []
     if len(x) == len(y) and (x == y).all():
         return [(0, len(x) - 1, 0, len(y) - 1, 1.0)] if len(x) >= TOKENS else []
-    values, first = np.unique(y, return_index=True)
+    order = np.argsort(y, kind="stable")
+    values, first, times = np.unique(y[order], return_index=True, return_counts=True)
     at = np.searchsorted(values, x)
     at[at == len(values)] = 0
     i = np.flatnonzero(values[at] == x) if len(values) else np.zeros(0, int)
-    j = first[at[i]] if len(i) else i
+    j = _places(i, first[at[i]], times[at[i]], order) if len(i) else i
+    # equal tokens on the diagonals that run through a stretch's ends belong to it, wherever the chain was split
     todo = [(0, len(i))]
     while todo:
         a, b = todo.pop()
-        if b <= a or i[b - 1] - i[a] + 1 < TOKENS * SIMILARITY:
+        if b <= a:
+            continue
+        begin, end, low, high = int(i[a]), int(i[b - 1]), int(j[a:b].min()), int(j[a:b].max())
+        if low == j[a]:
+            k = _run(x[:begin][::-1], y[:low][::-1])
+            begin, low = begin - k, low - k
+        if high == j[b - 1]:
+            k = _run(x[end + 1 :], y[high + 1 :])
+            end, high = end + k, high + k
+        if end - begin + 1 < TOKENS * SIMILARITY:
             continue
-        own, other = x[i[a] : i[b - 1] + 1], y[j[a:b].min() : j[a:b].max() + 1]
-        own_set, other_set = np.unique(own), np.unique(other)
+        own_set, other_set = np.unique(x[begin : end + 1]), np.unique(y[low : high + 1])
         both = np.intersect1d(own_set, other_set, assume_unique=True).size
         s = both / (own_set.size + other_set.size - both)
         if s >= SIMILARITY:
-            if max(len(own), len(other)) >= TOKENS:
-                found.append((int(i[a]), int(i[b - 1]), int(j[a:b].min()), int(j[a:b].max()), float(s)))
+            if max(end - begin, high - low) + 1 >= TOKENS:
+                found.append((begin, end, low, high, float(s)))
             continue
         if b - a < 2:
             continue
         jump = np.abs(np.diff(i[a:b])) - 1 + np.abs(np.diff(j[a:b]) - 1)
         k = a + 1 + int(jump.argmax())
         todo += [(a, k), (k, b)]
-    return sorted(found)
+    kept: list[tuple[int, int, int, int, float]] = []
+    for f in sorted(set(found), key=lambda f: (f[0] - f[1], f)):
+        if not any(g[0] <= f[0] and f[1] <= g[1] and g[2] <= f[2] and f[3] <= g[3] for g in kept):
+            kept.append(f)
+    return sorted(kept)
 
 
 def _verify(batches):

@@ -347,6 +347,27 @@ def test_passages(docs, corpus):
         assert r["doc_id"] != r["other_doc_id"] and max(len(a), len(b)) >= 50 and len(x & y) / len(x | y) == pytest.approx(r["similarity"]) and r["similarity"] >= 0.8
 
 
+def test_passage_with_repeated_phrase():
+    """Phrases of a passage that also stand elsewhere in the other text, one or many, by an edit or not, don't hide it."""
+    new = iter(range(1000, 100_000))
+    fresh = lambda n: [next(new) for _ in range(n)]
+    passage = fresh(46)
+    x = np.array(fresh(20) + passage + fresh(20), np.int32)
+
+    def found(x, y):
+        return passages.similar_stretches(np.array(x, np.int32), np.array(y, np.int32))
+
+    assert found(passage, [passage[20], *fresh(29), *passage]) == [(0, 45, 30, 75, 1.0)]
+    for before in ([20], range(30), range(20, 46), [0, 20, 45], range(46)):
+        y = [t for k in before for t in ([passage[k]] if len(before) > 3 else [passage[k], *fresh(30)])] + fresh(40)
+        assert (20, 65, len(y), len(y) + 45, 1.0) in found(x, [*y, *passage, *fresh(9)]) or len(before) == 46
+        assert found(x, [*fresh(9), *passage, *y])[0][:2] == (20, 65)
+    edited = passage + fresh(20)
+    y = [edited[24], *fresh(40), *edited[:25], *fresh(5), *edited[30:]]
+    assert [f[:4] for f in found(edited, y)] == [(0, 65, 41, 106)]
+    assert found([7] * 3000, [7] * 2500) and found([7, 8] * 3000, [8] * 60 + [7, 8] * 2000)
+
+
 @pytest.mark.parametrize("function", [0, 1])
 def test_compact_windows(function):
     rng = np.random.default_rng(1)
