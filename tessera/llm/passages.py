@@ -4,7 +4,7 @@ A document's tokens are the shingles of five words. Under a hash function, all s
 
 1. Documents are packed into compressed blocks (as for exact dedup); each block sends its windows' token hashes and hears which of them another document has too.
 2. What is left meets by token: each window with the window of the smallest and of the largest document that has it, so the rows stay in proportion to the windows and no pairs within a group are made.
-3. Windows of two documents are joined over all hash functions: where those of at least ENOUGH functions overlap in both documents, the stretch is a candidate.
+3. Windows of two documents are joined over all hash functions: where those of at least ENOUGH functions overlap in both documents, the stretch is a candidate; stretches at several places of the other document are told apart.
 4. Candidates are verified on the shingles themselves: shared shingles are chained over all their places in the other text with the least jumps, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
 A passage that stands in both texts word for word shares its token under every function and is always found. One of similarity s is found if enough of HASHES functions agree, with chance 0.993 at s = 0.8.
@@ -180,22 +180,25 @@ def _candidates(batches):
         if len({h[0] for h in held}) < ENOUGH:
             return
         held.sort(key=lambda h: h[1])
-        group: list[tuple] = []
-
-        def flush() -> None:
-            if len({g[0] for g in group}) >= ENOUGH:
-                out.append((*now, min(g[1] for g in group), max(g[2] for g in group), min(g[3] for g in group), max(g[4] for g in group)))
-
-        reach = other = -1
-        for h in held:
-            if group and (h[1] > reach or h[3] > other or h[4] < floor):
-                flush()
-                group = []
-            if not group:
-                reach, other, floor = h[2], h[4], h[3]
-            group.append(h)
-            reach, other, floor = max(reach, h[2]), max(other, h[4]), min(floor, h[3])
-        flush()
+        # groups by place in b: (functions, a_lo, a_hi, b_lo, b_hi); a window joins all that it overlaps in both
+        groups: list[tuple] = []
+
+        def flush(group: tuple) -> None:
+            if len(group[0]) >= ENOUGH:
+                out.append((*now, *group[1:]))
+
+        for f, *h in held:
+            own, left = ({f}, *h), []
+            for g in groups:
+                if g[2] < h[0]:
+                    flush(g)
+                elif g[3] <= own[4] and own[3] <= g[4]:
+                    own = (own[0] | g[0], min(own[1], g[1]), max(own[2], g[2]), min(own[3], g[3]), max(own[4], g[4]))
+                else:
+                    left.append(g)
+            groups = [*left, own]
+        for g in groups:
+            flush(g)
 
     def rows() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True))

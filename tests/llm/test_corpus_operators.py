@@ -368,6 +368,17 @@ def test_passage_with_repeated_phrase():
     assert found([7] * 3000, [7] * 2500) and found([7, 8] * 3000, [8] * 60 + [7, 8] * 2000)
 
 
+def test_passages_in_another_order():
+    """Windows of two passages that interleave in one text and are apart in the other are two candidates."""
+    import pyarrow as pa
+
+    windows = [(0, 0, 60, 500, 560), (1, 5, 65, 10, 70), (2, 10, 70, 500, 560), (3, 15, 75, 10, 70)]
+    columns = [pa.array(c, pa.int64()) for c in zip(*((9, 1, 4, 1, *w) for w in windows))]
+    batch = pa.RecordBatch.from_arrays(columns, ["a", "bid_a", "b", "bid_b", "f", "a_lo", "a_hi", "b_lo", "b_hi"])
+    got = [tuple(r.values()) for b in passages._candidates([batch]) for r in b.to_pylist()]
+    assert sorted(got) == [(9, 1, 4, 1, 0, 70, 500, 560), (9, 1, 4, 1, 5, 75, 10, 70)]
+
+
 @pytest.mark.parametrize("function", [0, 1])
 def test_compact_windows(function):
     rng = np.random.default_rng(1)
