@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return drop_near_copies(docs)
+    """One document of each group of near copies stays: of fingerprints within 4 bits, or of Jaccard similarity 0.8 on five-word shingles."""
+    return drop_near_copies(docs, similar=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, free_name, keyed_texts, stored
 from tessera.llm.components import components, forest
+from tessera.llm.jaccard import similar_links
 from tessera.llm.registry import query
 
 SHINGLE, SEED, MOST_BITS = 4, 42, 4
@@ -160,9 +161,10 @@ def fingerprints_of(docs: DataFrame) -> DataFrame:
     return keyed_texts(docs).mapInArrow(run, "doc_id long, fp long")
 
 
-def groups(first: DataFrame) -> DataFrame:
-    """fp and first of every linked fingerprint that is not alone: of rows (fp, first), fp distinct, the smallest first of its component, nulls last."""
-    roots = components(near_links(first.select("fp"))).withColumnRenamed("node", "fp")
+def groups(first: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """fp and first of every linked fingerprint that is not alone: of rows (fp, first), fp distinct, the smallest first of its component, nulls last. more: further links (a, b) of fingerprints."""
+    links = near_links(first.select("fp"))
+    roots = components(links if more is None else cut(links.unionByName(more))).withColumnRenamed("node", "fp")
     found = roots.join(first, "fp")
     low = found.groupBy("root").agg(F.min("first").alias("low"))
     return found.join(low, "root").select("fp", F.col("low").alias("first"))
@@ -182,8 +184,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     return found.join(named, "fp").select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, of which no near copy with a smaller id is there: one row of each component stays (of rows of one id, or without id, one of them)."""
+def drop_near_copies(docs: DataFrame, similar: bool = False) -> DataFrame:
+    """The documents, with all their columns, of which no near copy with a smaller id is there: one row of each component stays (of rows of one id, or without id, one of them). similar: texts whose five-word shingles have Jaccard similarity 0.8 are near copies too."""
     names = docs.columns
 
     @F.pandas_udf("long")
@@ -194,7 +196,8 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     numbered = stored(docs.withColumn(rid, F.monotonically_increasing_id()).withColumn(fp, of(F.col("text").cast("string"))), "simhash")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("doc_id"), F.col(rid).alias("rid"))
     first = cut(numbered.select(F.col(fp).alias("fp"), place.alias("place")).groupBy("fp").agg(F.min("place").alias("first")))
-    linked = groups(first).withColumnRenamed("first", "low")
+    more = similar_links(numbered.select(F.col(fp).alias("fp"), F.col("text"))) if similar else None
+    linked = groups(first, more).withColumnRenamed("first", "low")
     stays = first.join(linked, "fp", "left").where(F.col("low").isNull() | (F.col("low.rid") == F.col("first.rid"))).select(F.col("first.rid").alias(rid))
     return numbered.join(stays, rid, "left_semi").select(names)
 

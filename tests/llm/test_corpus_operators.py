@@ -395,6 +395,48 @@ def test_compact_windows(function):
     assert sorted(zip(*(x.tolist() for x in passages.compact_windows(token, count, function)), strict=True)) == sorted(want)
 
 
+def test_pipeline_near_copies(spark):
+    """The stage finds all pairs of similarity 0.8 on five-word shingles, also those that fingerprints miss, and keeps other texts."""
+    import corpus_pipeline
+    from tessera.llm import jaccard
+
+    rng = random.Random(21)
+    rows = []
+    for g in range(12):
+        base = prose(rng, rng.randint(70, 200)).split()
+        for k in range(5):
+            words = list(base)
+            for p in rng.sample(range(len(words)), k * len(words) // 70):
+                words[p] = f"new{g}x{k}"
+            rows.append((10 * g + k, " ".join(words), "en", "s", 0))
+    rows += [(900, "one two", "en", "s", 0), (901, None, "en", "s", 0)]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t, *_ in rows if len(w := (t or "").lower().split()) > 4}
+    root = {c: c for c in sets}
+
+    def find(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    prints = {i: simhash.fingerprint(t) for i, t, *_ in rows}
+    missed = 0
+    for a in sets:
+        for b in sets:
+            similar = len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+            near = ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= 4
+            missed += similar and not near
+            if a < b and (similar or near):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert missed
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    left = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert left == {i for i in root if find(i) == i} | {900, 901}
+    texts = spark.createDataFrame([(i, t) for i, t, *_ in rows], "fp long, text string")
+    joined = {frozenset(r) for r in jaccard.similar_links(texts, block=2).collect()}
+    assert joined and all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in joined)
+
+
 def test_pipeline(spark, corpus, tmp_path):
     import corpus_pipeline
 
