@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
-    """A local session with the settings that tests and the bench use."""
+    """A local session with the settings that tests and the bench use; on one machine a folder of its own is the one that driver and executors share."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tessera")
@@ -17,6 +17,7 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="scratch-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -30,9 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, stored in the folder that driver and executors share (spark.checkpoint.dir), for plans that read them more than once; only where that is unset, as in tests, a local folder is made."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, as spark.checkpoint.dir names it. Without it nothing can be stored: a folder of this machine alone would lose rows on a cluster."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="scratch-"))
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, stored in the shared folder, for plans that read them more than once; a lost executor costs no more than a read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
