@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import cut, shared_folder
 
-def scratch(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from spark.checkpoint.dir. Only where that is unset, as in tests, a local one is made."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        found = "file://" + tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, stored in the shared folder, so that a lost executor costs no more than a read."""
-    scratch(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+__all__ = ["cut", "free_name", "keyed_texts", "stored"]
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written as compressed Parquet in the shared folder and read again; for tables as large as the input, which a checkpoint would keep uncompressed."""
     spark = df.sparkSession
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

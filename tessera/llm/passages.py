@@ -2,31 +2,46 @@
 
 A document's tokens are the shingles of five words. Under a hash function, all subsequences whose smallest token is at c form one compact window (l, c, r): they start in l..c and end in c..r. The windows are the nodes of the Cartesian tree over the token hashes; those that hold a subsequence of MIN_WORDS words are found for all documents of a block at once, by sliding minima and a descent over doubled spans to the nearest smaller token on each side. Two documents that share a passage share its smallest token, so windows meet by that token.
 
-1. Documents are packed into compressed blocks (as for exact dedup); each block sends its windows' token hashes and hears which of them another document has too.
-2. What is left meets by token: each window with the window of the smallest and of the largest document that has it, so the rows stay in proportion to the windows and no pairs within a group are made.
-3. Windows of two documents are joined over all hash functions: where those of at least ENOUGH functions overlap in both documents, the stretch is a candidate; stretches at several places of the other document are told apart.
-4. Candidates are verified on the shingles themselves: shared shingles are chained over all their places in the other text with the least jumps, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
+1. Documents are packed into compressed blocks (as for exact dedup). Of documents with the same words one stands for all, and the others are linked with it. Each block sends its windows' token hashes and hears which of them another document has too.
+2. Windows that are left and overlap in their document are taken together: their smallest tokens under two functions are a node's key, what they have in common is its stretch. So nodes meet only where ENOUGH functions agree, and a popular shingle alone joins nothing.
+3. Nodes of equal stretches are a class and meet its first. The first ones of a key's classes meet the first of the key, and those in no stretch that was found the first of these.
+4. Then nodes of a key whose documents aren't linked yet all meet, and in keys of FEW nodes also those that lie in no stretch yet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond a block are parted by rare tokens that similar stretches must share.
+5. Stretches that meet are verified on the shingles themselves: shared shingles are chained over all their places in the other text, by the diagonals that most of them share, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
-Documents between the ends of a token aren't compared through it, so what two of them share is lost where both fail against the ends. Of documents that meet, a passage that stands in both texts word for word shares its token under every function and is found. One of similarity s is found if enough of HASHES functions agree, with chance 0.993 at s = 0.8.
+So documents that share a passage word for word are always of one class, as such a passage has its smallest tokens under every function, and of those of similarity s enough of HASHES functions agree with chance 0.993 at s = 0.8. Inside a class copies aren't expanded into all pairs: of a passage that over FEW different texts of a class have, each text is held against the first ones.
 
-Defined cases: a null, empty or short text has no windows; rows without an id, and rows of one id among each other, aren't compared; an empty table gives an empty result. Words are taken in lower case (A-Z) between ASCII white space. Other columns are ignored.
+Defined cases: a null, empty or short text has no windows; rows without an id aren't compared; rows of one id are texts of their own, which aren't held against each other; an empty table gives an empty result. Words are taken in lower case (A-Z) between ASCII white space. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, stored
+from tessera.llm.components import components
 from tessera.llm.registry import query
-from tessera.llm.suffixes import _MESSAGE_SQL, RANGE_BYTES, _answer_hashes, _flags, _pack, _rows, _unpack, blocks, by_range, distinct
+from tessera.llm.suffixes import _MESSAGE_SQL, IDX_BITS, RANGE_BYTES, _answer_hashes, _flags, _pack, _rows, _unpack, blocks, by_range, distinct
 
 SHINGLE, MIN_WORDS, SIMILARITY, HASHES, ENOUGH = 5, 50, 0.8, 5, 2
 TOKENS = MIN_WORDS - SHINGLE + 1
+#: Shared tokens that some TOKENS in a row of a similar stretch have at least: the worst is a stretch of 77 tokens with its 15 unshared ones in the middle.
+DENSE = 30
+#: Tokens of a text that vote on a diagonal together.
+NEAR = 256
+#: Nodes of a key that meet directly, nodes that one block of a key holds, tokens on either side of a node's place that are held against others', and how often the nodes of a key meet the first of those that are left.
+FEW, BLOCK, REACH, ROUNDS = 32, 512, 52, 2
+#: Tokens of a cell, by which places are looked up in stretches.
+CELL = 8
+#: Kind of the messages that name a block's copies.
+COPY = 2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _GAP = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_STEP = 0x9E3779B97F4A7C15
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -72,53 +87,70 @@ def shingles(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def compact_windows(token: np.ndarray, count: np.ndarray, function: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, l, c, r) of the Cartesian tree's nodes of TOKENS tokens at least, places within their text. Of equal values the leftmost is the smaller."""
+    """(text, l, c, r) of the Cartesian tree's nodes of TOKENS tokens at least, places within their text. Of equal values the leftmost is the smaller.
+
+    The smallest token of a window that slides over the text moves to the right only, so nodes are the runs of equal minima. The nearest smaller token on either side of a node is itself a node (its window holds the node's), so both are looked for among nodes alone.
+    """
     n = len(token)
     none = np.zeros(0, np.int64)
     if n < TOKENS:
         return none, none, none, none
     # a zero stands before, between and after the texts and ends every window
     text = np.repeat(np.arange(len(count)), count)
-    start = np.cumsum(count) - count
-    value = np.zeros(n + len(count) + 1, np.uint64)
     at = np.arange(n) + text + 1
+    value = np.zeros(n + len(count) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        value[at] = np.maximum(_mixed(token + np.uint64((function + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(32), np.uint64(1))
-    value = (value << np.uint64(32)) | np.arange(len(value), dtype=np.uint64) * (value > 0)
-    spans = [value]
-    while 1 << len(spans) <= max(TOKENS, int(count.max())):
-        spans.append(np.minimum(spans[-1][: -(1 << len(spans) - 1)], spans[-1][1 << len(spans) - 1 :]))
-    k = TOKENS.bit_length() - 1
-    low = np.minimum(spans[k][: len(value) - TOKENS + 1], spans[k][TOKENS - (1 << k) : TOKENS - (1 << k) + len(value) - TOKENS + 1])
-    c = np.unique((low[low > 0] & np.uint64(0xFFFFFFFF)).astype(np.int64))
-    v = value[c]
-    left, right = c.copy(), c.copy()
+        h = _mixed(token + np.uint64((function + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(32)
+    value[at] = np.maximum(h, np.uint64(1)) << np.uint64(32) | at.astype(np.uint64)
+    low, size = value, 1
+    while 2 * size <= TOKENS:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    low = np.minimum(low[: len(value) - TOKENS + 1], low[TOKENS - size : TOKENS - size + len(value) - TOKENS + 1])
+    v = low[np.append(True, low[1:] != low[:-1])]
+    v = v[v > 0]
+    if not len(v):
+        return none, none, none, none
+    c = (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    t = text[np.searchsorted(at, c)]
+    first = (np.cumsum(count) - count + np.arange(len(count)) + 1)[t]
+    # nodes alone, a zero before, between and after the texts as above
+    new = np.append(True, t[1:] != t[:-1])
+    place = np.arange(len(c)) + np.cumsum(new)
+    nodes = np.zeros(len(c) + int(new.sum()) + 1, np.uint64)
+    nodes[place] = v
+    where = np.zeros(len(nodes), np.int64)
+    where[place] = c
+    spans, longest = [nodes], int(np.diff(np.append(np.flatnonzero(new), len(c))).max())
+    while 1 << len(spans) <= longest:
+        half = 1 << len(spans) - 1
+        spans.append(np.minimum(spans[-1][:-half], spans[-1][half:]))
+    left, right = place.copy(), place.copy()
     for k in range(len(spans) - 1, -1, -1):
         step = 1 << k
         to = left - step
         ok = to >= 0
         ok[ok] = spans[k][to[ok]] >= v[ok]
         left = np.where(ok, to, left)
-        ok = right + 1 + step <= len(value)
+        ok = right + 1 + step <= len(nodes)
         ok[ok] = spans[k][right[ok] + 1] >= v[ok]
         right = np.where(ok, right + step, right)
-    t = np.searchsorted(at[start[count > 0]], c, side="right") - 1
-    t = np.flatnonzero(count > 0)[t]
-    base = start[t] + t + 1
-    return t, left - base, c - base, right - base
+    lo = np.where(nodes[left - 1] > 0, where[left - 1] + 1, first)
+    hi = np.where(nodes[right + 1] > 0, where[right + 1], first + count[t]) - 1
+    return t, lo - first, c - first, hi - first
 
 
 class Windows:
-    """All compact windows of a block."""
+    """A block's documents and their compact windows."""
 
     def __init__(self, body: bytes):
         self.ids, self.no_id, sizes, raw = _unpack(body)
         ends = np.cumsum(sizes)
-        parts = []
-        tokens = []
+        parts = [[np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]]
+        tokens = [np.zeros(0, np.uint64)]
         a = 0
         self.count = np.zeros(len(sizes), np.int64)
-        while a < len(sizes):  # some texts at a time, as the spans take much room
+        while a < len(sizes):  # some texts at a time, as the minima take much room
             b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (2 << 20), side="right")))
             base = int(ends[a - 1]) if a else 0
             token, count = shingles(raw[base : int(ends[b - 1])], ends[a:b] - base)
@@ -127,18 +159,60 @@ class Windows:
             start = np.cumsum(count) - count
             for f in range(HASHES):
                 t, lo, c, hi = compact_windows(token, count, f)
-                key = _mixed(token[start[t] + c] + np.uint64(f + 1))
-                parts.append((t + a, lo, c, hi, np.full(len(t), f), key))
+                known = self.no_id[t + a] == 0
+                t, lo, c, hi = t[known], lo[known], c[known], hi[known]
+                parts.append([t + a, lo, c, hi, np.full(len(t), f), _mixed(token[start[t] + c] + np.uint64(f + 1))])
             a = b
-        self.text, self.lo, self.c, self.hi, self.function, self.key = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]
-        known = self.no_id[self.text] == 0
-        self.text, self.lo, self.c, self.hi, self.function, self.key = (x[known] for x in (self.text, self.lo, self.c, self.hi, self.function, self.key))
-        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        self.text, self.lo, self.c, self.hi, self.function, self.key = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.tokens = np.concatenate(tokens)
 
     def hashes(self, ranges: int):
         """(range, sorted distinct token hashes, whether two of the block's documents have each)."""
         return by_range(*distinct(self.key, self.ids[self.text])[:2], ranges)
 
+    def meetings(self, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(key, text, first, last, place, content) of wanted windows of two functions that hold a common subsequence of TOKENS: the two smallest tokens are the key, the overlap is the stretch, place is the first function's smallest token, content a hash of the stretch, lead the first of a text's rows of one content. Of a text's equal stretches of a key the first stands for all."""
+        text, lo, c, hi, f, key = (x[wanted] for x in (self.text, self.lo, self.c, self.hi, self.function, self.key))
+        # windows of a token that comes again before a smaller one does: the first holds all, its smallest token stands anywhere from c to far
+        order = np.lexsort((c, key, f, text))
+        text, lo, c, hi, f, key = (x[order] for x in (text, lo, c, hi, f, key))
+        own = np.ones(len(key), bool)
+        own[1:] = (text[1:] != text[:-1]) | (f[1:] != f[:-1]) | (key[1:] != key[:-1]) | (c[1:] > hi[:-1])
+        head = np.flatnonzero(own)
+        far = np.maximum.reduceat(c, head) if len(head) else c
+        text, lo, c, hi, f, key = (x[head] for x in (text, lo, c, hi, f, key))
+        order = np.lexsort((lo, text))
+        text, lo, c, far, hi, f, key = (x[order] for x in (text, lo, c, far, hi, f, key))
+        n, d, idx, found = len(key), 1, np.arange(len(key)), [(np.zeros(0, np.int64),) * 2]
+        while len(idx):
+            idx = idx[idx + d < n]
+            j = idx + d
+            idx = idx[(text[j] == text[idx]) & (lo[j] <= far[idx]) & (hi[idx] - lo[j] + 1 >= TOKENS)]
+            j = idx + d
+            ok = (f[idx] != f[j]) & (hi[j] - lo[j] + 1 >= TOKENS) & (c[idx] <= hi[j]) & (c[j] <= hi[idx])
+            found.append((idx[ok], j[ok]))
+            d += 1
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        a, b = np.where(f[i] < f[j], i, j), np.where(f[i] < f[j], j, i)
+        first, last, text, place = lo[j], np.minimum(hi[i], hi[j]), text[i], c[a]
+        place = np.where((place < first) & (far[a] >= first), first, place)
+        with np.errstate(over="ignore"):
+            both = _mixed(key[a] * np.uint64(0x9E3779B97F4A7C15) ^ key[b])
+            base = (np.cumsum(self.count) - self.count)[text]
+            power = np.cumprod(np.full(len(self.tokens) + 1, _STEP, np.uint64))
+            back = np.cumprod(np.full(len(self.tokens) + 1, pow(_STEP, -1, 1 << 64), np.uint64))
+            total = np.append(np.uint64(0), np.cumsum(self.tokens * power[: len(self.tokens)]))
+            content = _mixed((total[base + last + 1] - total[base + first]) * back[base + first] + (last - first).astype(np.uint64))
+        order = np.lexsort((first, content, both, text))
+        text, both, content, first, last, place = (x[order] for x in (text, both, content, first, last, place))
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (both[1:] != both[:-1]) | (content[1:] != content[:-1])
+        text, both, content, first, last, place = (x[new] for x in (text, both, content, first, last, place))
+        order = np.lexsort((content, text))
+        lead = np.zeros(len(text), bool)
+        lead[order[np.append(True, (text[order][1:] != text[order][:-1]) | (content[order][1:] != content[order][:-1]))[: len(order)]]] = True
+        return both, text, first, last, place, content, lead
+
 
 def _send(ranges: int):
     def run(batches):
@@ -151,12 +225,14 @@ def _send(ranges: int):
     return run
 
 
-_WINDOW_SQL = "key long, doc long, bid long, f int, lo int, c int, hi int"
+_NODE = [("key", pa.int64()), ("content", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("place", pa.int32()), ("lead", pa.bool_())]
+_NODE_SQL = "key long, content long, row long, first int, last int, place int, lead boolean"
 
 
-def _shared_windows(ranges: int):
+def _meetings(ranges: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        flags, tables = _flags(right), []
+        flags, tables = _flags(right), [pa.schema(_NODE).empty_table()]
+        copies = np.array([r for kind, r in zip(right["kind"].to_pylist(), right["r"].to_pylist(), strict=True) if kind == COPY], np.int64)
         for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True):
             own = Windows(body)
             every = [(k, flags[r]) for r, k, _ in own.hashes(ranges) if r in flags]
@@ -164,77 +240,73 @@ def _shared_windows(ranges: int):
             at = np.searchsorted(keys, own.key)
             at[at == len(keys)] = 0
             hit = keys[at] == own.key if len(keys) else np.zeros(len(own.key), bool)
-            columns = [own.key[hit].view(np.int64), own.ids[own.text[hit]], np.full(int(hit.sum()), bid), *(x[hit].astype(np.int32) for x in (own.function, own.lo, own.c, own.hi))]
-            tables.append(pa.table(columns, names=["key", "doc", "bid", "f", "lo", "c", "hi"]))
+            alone = np.ones(len(own.count), bool)
+            alone[copies] = False
+            both, text, first, last, place, content, lead = own.meetings(hit & alone[own.text])
+            columns = [both.view(np.int64), content.view(np.int64), (bid << IDX_BITS) + text, *(x.astype(np.int32) for x in (first, last, place)), lead]
+            tables.append(pa.table(columns, schema=pa.schema(_NODE)))
         return pa.concat_tables(tables)
 
     return run
 
 
-def _candidates(batches):
-    """Of sorted rows (a, b, f, and both windows): stretches of documents a and b in which windows of at least ENOUGH functions overlap in both."""
-    now, held = None, []
-    out: list[tuple] = []
-
-    def close() -> None:
-        if len({h[0] for h in held}) < ENOUGH:
-            return
-        held.sort(key=lambda h: h[1])
-        # groups by place in b: (functions, a_lo, a_hi, b_lo, b_hi); a window joins all that it overlaps in both
-        groups: list[tuple] = []
-
-        def flush(group: tuple) -> None:
-            if len(group[0]) >= ENOUGH:
-                out.append((*now, *group[1:]))
-
-        for f, *h in held:
-            own, left = ({f}, *h), []
-            for g in groups:
-                if g[2] < h[0]:
-                    flush(g)
-                elif g[3] <= own[4] and own[3] <= g[4]:
-                    own = (own[0] | g[0], min(own[1], g[1]), max(own[2], g[2]), min(own[3], g[3]), max(own[4], g[4]))
-                else:
-                    left.append(g)
-            groups = [*left, own]
-        for g in groups:
-            flush(g)
-
-    def rows() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "bid_a", "b", "bid_b", "a_lo", "a_hi", "b_lo", "b_hi"])
+def _merged(x: list[np.ndarray]) -> list[np.ndarray]:
+    """Of sorted (a, b, a_lo, a_hi, b_lo, b_hi): neighbours of a pair that overlap in both documents are one stretch."""
+    while True:
+        a, b, alo, ahi, blo, bhi = x
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (alo[1:] > ahi[:-1]) | (alo[:-1] > ahi[1:]) | (blo[1:] > bhi[:-1]) | (blo[:-1] > bhi[1:])
+        if new.all():
+            return x
+        at = np.flatnonzero(new)
+        x = [a[at], b[at], np.minimum.reduceat(alo, at), np.maximum.reduceat(ahi, at), np.minimum.reduceat(blo, at), np.maximum.reduceat(bhi, at)]
+
+
+_STRETCHES_SQL = "a long, b long, a_lo array<int>, a_hi array<int>, b_lo array<int>, b_hi array<int>"
+
+
+def _stretches(batches):
+    """Of rows (a, b, a_lo, a_hi, b_lo, b_hi) sorted by (a, b): one row for each pair with its stretches; those that overlap in both documents are one, those at several places of the other document are told apart."""
+    kinds = [pa.int64()] * 2 + [pa.list_(pa.int32())] * 4
+    held = None
+
+    def rows(x: list[np.ndarray]) -> pa.RecordBatch:
+        for order in ((4, 2), (2, 4), (4, 2)):
+            x = _merged([c[np.lexsort((x[order[1]], x[order[0]], x[1], x[0]))] for c in x])
+        new = np.append(True, (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]))
+        ends = pa.array(np.append(np.flatnonzero(new), len(new)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(c, pa.int32())) for c in x[2:]]
+        return pa.RecordBatch.from_arrays([pa.array(x[0][new]), pa.array(x[1][new]), *lists], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
 
     for batch in batches:
-        a, ba, b, bb, f, alo, ahi, blo, bhi = (c.to_pylist() for c in batch.columns)
-        for pair, *window in zip(zip(a, ba, b, bb, strict=True), f, alo, ahi, blo, bhi, strict=True):
-            if pair != now:
-                if held:
-                    close()
-                now, held = pair, []
-            held.append(window)
-        if len(out) > 10_000:
-            yield rows()
-            out.clear()
-    if held:
-        close()
-    if out:
-        yield rows()
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+        if held is not None:
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
+        same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
+        last = len(same) - int(same[::-1].argmin()) if not same.all() else 0
+        held = [c[last:] for c in cols]
+        if last:
+            yield rows([c[:last] for c in cols])
+        elif len(same) > 100_000:
+            held = _merged(held)
+    if held is not None:
+        yield rows(held)
 
 
 def _tokens_of(key, left: pa.Table, right: pa.Table) -> pa.Table:
     """The shingles of the wanted documents of a block."""
     rows = []
-    wanted = set(right["doc"].to_pylist())
-    for body in left["body"].to_pylist() if wanted else []:
-        own = Windows(body)
-        start = np.cumsum(own.count) - own.count
-        for i, d in enumerate(own.ids.tolist()):
-            if d in wanted and not own.no_id[i]:
-                rows.append((d, (own.tokens[start[i] : start[i] + own.count[i]] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-    # rows of one id: the first stands for all of them
-    seen: set[int] = set()
-    rows = [r for r in rows if not (r[0] in seen or seen.add(r[0]))]
-    return _rows(rows, [("doc", pa.int64()), ("tokens", pa.list_(pa.int32()))])
+    wanted = sorted(set(right["row"].to_pylist()))
+    for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True) if wanted else []:
+        ids, _, sizes, raw = _unpack(body)
+        ends = np.cumsum(sizes).tolist()
+        for w in wanted:
+            k = w - (bid << IDX_BITS)
+            text = raw[ends[k] - int(sizes[k]) : ends[k]]
+            rows.append((w, int(ids[k]), (shingles(text, np.array([len(text)]))[0] >> np.uint64(32)).astype("<u4").tobytes()))
+    return _rows(rows, [("row", pa.int64()), ("doc", pa.int64()), ("tokens", pa.binary())])
 
 
 def _run(x: np.ndarray, y: np.ndarray) -> int:
@@ -248,60 +320,39 @@ def _run(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _places(i: np.ndarray, first: np.ndarray, times: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """For tokens at places i of x, each at order[first : first + times] in y (rising): of all its places the ones that make the way through y with the least sum of jumps off the diagonal."""
+    """For tokens at places i of x (rising), each at order[first : first + times] in y: the place of each on the diagonal that most tokens near it share, the first of equals."""
     j = order[first].copy()
     if (times == 1).all():
         return j
-    n, k = len(i), 0
-    back: list[np.ndarray] = []
-    start, held = 0, 0
-    cost = at = np.zeros(0, np.int64)
-
-    def settle(stop: int) -> None:
-        p = int(cost.argmin())
-        for k in range(stop - 1, start - 1, -1):
-            j[k] = order[first[k] + p]
-            p = int(back[k - start][p])
-
-    for k in range(n):
-        here = order[first[k] : first[k] + times[k]]
-        if not k:
-            back, cost, at = [np.zeros(len(here), np.int64)], np.zeros(len(here), np.int64), here
-            continue
-        if times[k] == 1 and len(at) == 1:
-            back.append(np.zeros(1, np.int64))
-            at = here
-            continue
-        if i[k] == i[k - 1] + 1 and len(at) == len(here) and (here == at + 1).all():  # every place goes on
-            back.append(np.arange(len(here)))
-            at, held = here, held + len(here)
-            if held <= 1 << 22:
-                continue
-            settle(k + 1)
-            p = int(cost.argmin())
-            start, held, back, cost, at = k + 1, 0, [], cost[p : p + 1], at[p : p + 1]
-            continue
-        # the nearest way from the left and from the right, by running minima over the last token's places
-        aim = at + (i[k] - i[k - 1])
-        left, right = np.minimum.accumulate(cost - aim), np.minimum.accumulate((cost + aim)[::-1])[::-1]
-        p = np.searchsorted(aim, here, side="right")
-        down = np.where(p > 0, left[np.maximum(p - 1, 0)] + here, np.iinfo(np.int64).max)
-        up = np.where(p < len(aim), right[np.minimum(p, len(aim) - 1)] - here, np.iinfo(np.int64).max)
-        new = np.arange(len(aim))
-        best_left = np.maximum.accumulate(np.where(cost - aim == left, new, 0))
-        best_right = np.minimum.accumulate(np.where(cost + aim == right, new, len(aim))[::-1])[::-1]
-        back.append(np.where(down <= up, best_left[np.maximum(p - 1, 0)], best_right[np.minimum(p, len(aim) - 1)]))
-        cost, at = np.minimum(down, up), here
-        held += len(here)
-        if held > 1 << 22:  # of texts that repeat themselves throughout, the way so far is settled
-            settle(k + 1)
-            p = int(cost.argmin())
-            start, held, back, cost, at = k + 1, 0, [], cost[p : p + 1], at[p : p + 1]
-    if start < n:
-        settle(n)
+    ends = np.cumsum(times)
+    a = 0
+    while a < len(i):  # some places at a time
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 20), side="right")))
+        n = times[a:b]
+        heads = np.cumsum(n) - n
+        place = order[np.repeat(first[a:b] - heads, n) + np.arange(int(n.sum()))]
+        at = np.repeat(i[a:b], n)
+        shift = place - at + int(i[-1])
+        # tokens vote in two spans of NEAR places each, which overlap by half
+        votes = np.zeros(len(place), np.int64)
+        for half in (0, NEAR // 2):
+            _, who, count = np.unique(shift << 24 | (at + half) // NEAR, return_inverse=True, return_counts=True)
+            votes = np.maximum(votes, count[who])
+        most = np.maximum.reduceat(votes, heads)
+        good = np.flatnonzero(votes == np.repeat(most, n))
+        row = np.repeat(np.arange(b - a), n)[good]
+        j[a:b] = place[good[np.append(True, row[1:] != row[:-1])]]
+        a = b
     return j
 
 
+def _jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Similarity of the sets of tokens."""
+    u, v = set(x.tolist()), set(y.tolist())
+    both = len(u & v)
+    return both / (len(u) + len(v) - both)
+
+
 def similar_stretches(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """(first, last of x, first, last of y, similarity) of stretches of shared tokens that are long and similar enough, none inside another."""
     found: list[tuple[int, int, int, int, float]] = []
@@ -311,7 +362,16 @@ def similar_stretches(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int,
     values, first, times = np.unique(y[order], return_index=True, return_counts=True)
     at = np.searchsorted(values, x)
     at[at == len(values)] = 0
-    i = np.flatnonzero(values[at] == x) if len(values) else np.zeros(0, int)
+    own = values[at] == x if len(values) else np.zeros(len(x), bool)
+    i = np.flatnonzero(own)
+    # a similar stretch has DENSE shared tokens among TOKENS in a row, unless what it doesn't share repeats itself
+    sums = np.append(0, np.cumsum(own))
+    dense = sums[np.minimum(np.arange(len(x)) + TOKENS, len(x))] - sums[:-1] >= DENSE
+    rest = x[~own]
+    plain = len(np.unique(rest)) == len(rest)
+    if plain and not dense.any():
+        return []
+    dense = np.append(0, np.cumsum(dense))
     j = _places(i, first[at[i]], times[at[i]], order) if len(i) else i
     # equal tokens on the diagonals that run through a stretch's ends belong to it, wherever the chain was split
     todo = [(0, len(i))]
@@ -326,72 +386,247 @@ def similar_stretches(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int,
         if high == j[b - 1]:
             k = _run(x[end + 1 :], y[high + 1 :])
             end, high = end + k, high + k
-        if end - begin + 1 < TOKENS * SIMILARITY:
+        if end - begin + 1 < TOKENS * SIMILARITY or plain and dense[end + 1] == dense[max(0, begin - TOKENS)]:
             continue
-        own_set, other_set = np.unique(x[begin : end + 1]), np.unique(y[low : high + 1])
-        both = np.intersect1d(own_set, other_set, assume_unique=True).size
-        s = both / (own_set.size + other_set.size - both)
-        if s >= SIMILARITY:
-            if max(end - begin, high - low) + 1 >= TOKENS:
-                found.append((begin, end, low, high, float(s)))
+        sim = _jaccard(x[begin : end + 1], y[low : high + 1])
+        if sim >= SIMILARITY:
+            more = TOKENS - 1 - max(end - begin, high - low)
+            if more <= 0:
+                found.append((begin, end, low, high, sim))
+                continue
+            # too short by some tokens, which may be unshared ones on either side
+            tried = []
+            for before in range(more + 1):
+                w = max(0, begin - before), min(len(x), end + 1 + more - before) - 1, max(0, low - before), min(len(y), high + 1 + more - before) - 1
+                if max(w[1] - w[0], w[3] - w[2]) + 1 >= TOKENS:
+                    tried.append((_jaccard(x[w[0] : w[1] + 1], y[w[2] : w[3] + 1]), w))
+            if tried and max(tried)[0] >= SIMILARITY:
+                sim, w = max(tried)
+                found.append((*w, sim))
             continue
         if b - a < 2:
             continue
+        # of the widest gaps the one nearest to an end
         jump = np.abs(np.diff(i[a:b])) - 1 + np.abs(np.diff(j[a:b]) - 1)
-        k = a + 1 + int(jump.argmax())
+        widest = np.flatnonzero(jump == jump.max()) + 1
+        k = a + int(widest[np.minimum(widest, b - a - widest).argmin()])
         todo += [(a, k), (k, b)]
+    return _outer(set(found))
+
+
+def _outer(found: set[tuple[int, int, int, int, float]]) -> list[tuple[int, int, int, int, float]]:
+    """Of stretches those that aren't inside another."""
     kept: list[tuple[int, int, int, int, float]] = []
-    for f in sorted(set(found), key=lambda f: (f[0] - f[1], f)):
+    for f in sorted(found, key=lambda f: (f[0] - f[1], f)):
         if not any(g[0] <= f[0] and f[1] <= g[1] and g[2] <= f[2] and f[3] <= g[3] for g in kept):
             kept.append(f)
     return sorted(kept)
 
 
+_FOUND = [("a", pa.int64()), ("b", pa.int64()), ("doc_a", pa.int64()), ("doc_b", pa.int64()), ("a_first", pa.int32()), ("a_last", pa.int32()), ("b_first", pa.int32()), ("b_last", pa.int32()), ("similarity", pa.float64())]
+_FOUND_SQL = "a long, b long, doc_a long, doc_b long, a_first int, a_last int, b_first int, b_last int, similarity double"
+
+
 def _verify(batches):
     for batch in batches:
-        a, b, alo, blo, x, y = batch.columns
         rows = []
-        for d, e, i, k, u, v in zip(a.to_pylist(), b.to_pylist(), alo.to_pylist(), blo.to_pylist(), x, y, strict=True):
-            for p, q, r, s, sim in similar_stretches(np.asarray(u.values), np.asarray(v.values)):
-                rows.append((d, i + p, i + q + SHINGLE, e, k + r, k + s + SHINGLE, sim))
+        a, b, doc_a, doc_b, x_at, y_at = (c.to_pylist() for c in batch.columns[:6])
+        for k, (x, y, *lists) in enumerate(zip(*batch.columns[6:12], strict=True)):
+            u, v, found = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4"), set()
+            for i, j, p, q in zip(*(np.asarray(n.values).tolist() for n in lists), strict=True):
+                i, j, p, q = i - x_at[k], j - x_at[k], p - y_at[k], q - y_at[k]
+                found |= {(i + s, i + t, p + e, p + f, sim) for s, t, e, f, sim in similar_stretches(u[i : j + 1], v[p : q + 1])}
+            rows += [(a[k], b[k], doc_a[k], doc_b[k], s + x_at[k], t + x_at[k], e + y_at[k], f + y_at[k], sim) for s, t, e, f, sim in _outer(found)]
         if rows:
-            kinds = [pa.int64()] * 6 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "start_word", "end_word", "other_doc_id", "other_start_word", "other_end_word", "similarity"])
+            yield _rows(rows, _FOUND).to_batches()[0]
+
+
+def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The similar stretches of pairs (a, b, a_lo, a_hi, b_lo, b_hi; arrays) of documents with different ids."""
+
+    def part(side: str, as_name: str) -> list:
+        low = F.array_min(f"{side}_lo")
+        return [low.alias(f"{as_name}_at"), F.substring("tokens", 4 * low + 1, 4 * (F.array_max(f"{side}_hi") - low + 1)).alias(as_name)]
+
+    told = pairs.join(tokens.select(F.col("row").alias("a"), F.col("doc").alias("doc_a"), "tokens"), "a").select(*pairs.columns, "doc_a", *part("a", "x"))
+    told = told.join(tokens.select(F.col("row").alias("b"), F.col("doc").alias("doc_b"), "tokens"), "b").where("doc_a <> doc_b").select("a", "b", "doc_a", "doc_b", "x_at", *part("b", "y"), "x", "a_lo", "a_hi", "b_lo", "b_hi")
+    return told.select("a", "b", "doc_a", "doc_b", "x_at", "y_at", "x", "y", "a_lo", "a_hi", "b_lo", "b_hi").mapInArrow(_verify, _FOUND_SQL)
+
+
+def _paired(one: str, other: str) -> list:
+    """Columns a, b and their stretches of rows with two nodes, the larger number first. one, other: prefixes of the nodes' columns."""
+    swap = F.col(f"{one}row") < F.col(f"{other}row")
+    sides = [(F.when(swap, F.col(y + c)).otherwise(F.col(x + c))) for x, y in ((one, other), (other, one)) for c in ("row", "first", "last")]
+    return [sides[k].alias(n) for k, n in ((0, "a"), (3, "b"), (1, "a_lo"), (2, "a_hi"), (4, "b_lo"), (5, "b_hi"))]
+
+
+def _by_pair(pairs: DataFrame) -> DataFrame:
+    return pairs.repartition("a", "b").sortWithinPartitions("a", "b", "a_lo").mapInArrow(_stretches, _STRETCHES_SQL)
+
+
+def _overlaps(batches):
+    """Of rows (key, lo, hi, part, label, open, row, first, last, near) sorted by key, lo and hi: pairs of rows of a run of equal (key, lo, hi) that differ in their label or of which one is open, and that have of the tokens about their places DENSE in common (where near is given)."""
+    held, names = None, ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"]
+
+    def pairs(cols):
+        _, lo, hi, part, label, open_, row, first, last, near = cols
+        n = len(row)
+        i, j = np.triu_indices(n, 1)
+        ok = (row[i] != row[j]) & ((label[i] != label[j]) | open_[i] | open_[j])
+        if lo[0] != hi[0]:
+            ok &= part[i] != part[j]
+        i, j = i[ok], j[ok]
+        if len(i) and near[0] is not None:
+            flat = np.concatenate([np.unique(np.frombuffer(x, "<u4")) for x in near])
+            who = np.repeat(np.arange(n), [len(np.unique(np.frombuffer(x, "<u4"))) for x in near])
+            _, token, times = np.unique(flat, return_inverse=True, return_counts=True)
+            common = np.zeros((n, n), np.float32)
+            some = np.flatnonzero(times > 1)
+            rank = np.full(len(times), -1)
+            rank[some] = np.arange(len(some))
+            for k in range(0, len(some), 2048):  # some tokens at a time
+                at = rank[token] - k
+                here = (at >= 0) & (at < 2048)
+                has = np.zeros((n, min(2048, len(some) - k)), np.float32)
+                has[who[here], at[here]] = 1
+                common += has @ has.T
+            ok = common[i, j] >= DENSE
+            i, j = i[ok], j[ok]
+        swap = row[i] < row[j]
+        x, y = np.where(swap, j, i), np.where(swap, i, j)
+        for k in range(0, len(i), 1 << 16):
+            u, v = x[k : k + (1 << 16)], y[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row[u], row[v], first[u], last[u], first[v], last[v])], names)
+
+    def runs(cols):
+        new = np.ones(len(cols[0]), bool)
+        new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])
+        at = np.append(np.flatnonzero(new), len(new))
+        for p, q in zip(at, at[1:], strict=False):
+            if q - p > 1:
+                yield from pairs([c[p:q] for c in cols])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if held is not None:
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
+        same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
+        end = len(same) - int(same[::-1].argmin()) if not same.all() else 0
+        held = [c[end:] for c in cols]
+        yield from runs([c[:end] for c in cols])
+    if held is not None:
+        yield from runs(held)
+
+
+def _met(nodes: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Pairs (a, b and their stretches) of nodes (key, row, first, last, label, open, near) of a key that differ in their label or of which one is open. sizes: (key, n). A key of many nodes is dealt into blocks; each pair of blocks is work of its own."""
+    parted = nodes.join(sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key")
+    parted = parted.withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("parts").cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = parted.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "label", "open", "row", "first", "last", "near")
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int")
+
+
+def _rare_keys(nodes: DataFrame) -> DataFrame:
+    """The nodes of keys that very many share, under finer keys: two stretches alike have DENSE tokens about their places in common, so if the tokens of each node are put in the order of how many nodes of the key have them, they have one in common before the last DENSE - 1 of either. What only one node has can be left out, and a line that all share falls to the end."""
+    told = nodes.withColumn("node", F.xxhash64("row", "first"))
+
+    def spread(batches):
+        for batch in batches:
+            keys, ids, near = batch.columns
+            own = [np.unique(np.frombuffer(x.as_buffer(), "<u4")) for x in near]
+            sizes = [len(x) for x in own]
+            at = np.repeat(np.arange(len(own)), sizes)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(at)), ids.take(pa.array(at)), pa.array(np.concatenate(own).astype(np.int64) if own else [], pa.int64())], ["key", "node", "token"])
+
+    tokens = stored(told.select("key", "node", "near").mapInArrow(spread, "key long, node long, token long"), "near")
+    shared = cut(tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    ranked = tokens.join(shared, ["key", "token"]).groupBy("key", "node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t")).where(F.size("t") >= DENSE)
+    rare = ranked.withColumn("t", F.explode(F.slice("t", F.lit(1), F.size("t") - DENSE + 1))).select("key", "node", "t.token")
+    return rare.join(told, ["key", "node"]).select(F.xxhash64("key", "token").alias("key"), "row", "first", "last", "label", "open", "near")
+
+
+def _near(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The nodes with the tokens about their places (near)."""
+    low = F.greatest(F.col("place") - REACH, F.lit(0))
+    return nodes.join(tokens.select("row", "tokens"), "row").withColumn("near", F.substring("tokens", 4 * low + 1, 4 * (F.col("place") + REACH - low + 1))).drop("tokens")
+
+
+def copies(packed: DataFrame) -> DataFrame:
+    """row, doc, n (words) of every document that has the words of one before it, with row and doc of that (first, first_doc)."""
+    heads = packed.select("bid", F.explode("heads").alias("h")).select((F.shiftleft("bid", IDX_BITS) + F.col("h.idx")).alias("row"), "h.doc", "h.n", "h.digest")
+    least = cut(heads.groupBy("digest").agg(F.min(F.struct("row", "doc")).alias("least"), F.count(F.lit(1)).alias("times")).where("times > 1"))
+    return stored(heads.join(least, "digest").where("row <> least.row").select("row", "doc", "n", F.col("least.row").alias("first"), F.col("least.doc").alias("first_doc")), "copies")
+
+
+def _labelled(nodes: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """Nodes (key, row, first, last, place) with label, the class of their document by the links found, and open: whether their place lies in no stretch that was found."""
+    ends = _all([f.select("a", "b", "a_first", "a_last", "b_first", "b_last") for f in found])
+    roots = cut(components(ends.select("a", "b").distinct())).select(F.col("node").alias("row"), F.col("root").alias("label"))
+    sides = [ends.select(F.col(x).alias("row"), F.explode(F.sequence(F.ceil(F.col(f"{x}_first") / CELL).cast("int"), F.floor((F.col(f"{x}_last") + 1) / CELL).cast("int") - 1)).alias("cell")) for x in "ab"]
+    cells = cut(sides[0].unionByName(sides[1]).distinct().withColumn("open", F.lit(False)))
+    told = nodes.withColumn("cell", F.floor(F.col("place") / CELL).cast("int")).join(cells, ["row", "cell"], "left").drop("cell").join(roots, "row", "left")
+    return told.withColumn("label", F.coalesce("label", "row")).withColumn("open", F.coalesce("open", F.lit(True)))
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
-def near_duplicate_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, start_word, end_word (exclusive), the same of the other document, and similarity of every verified stretch of a document and the representative (first or last document) that has it too."""
-    packed = stored(blocks(docs), "passages")
+def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK) -> DataFrame:
+    """doc_id, start_word, end_word (exclusive), the same of the other document, similarity, and class_id of every verified stretch. few: nodes of a key that meet without a look at their tokens first; block: nodes of a key in one task."""
+    packed = stored(blocks(docs, MIN_WORDS), "passages")
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
-    sent = packed.mapInArrow(_send(ranges), "r long, bid long, blob binary")
-    flags = cut(sent.groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL))
-    windows = stored(packed.groupBy("bid").cogroup(flags.groupBy("bid")).applyInArrow(_shared_windows(ranges), _WINDOW_SQL), "windows")
-    one = F.struct("doc", "bid", "lo", "hi")
-    ends = windows.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.doc < high.doc")
-    met = windows.join(ends, "key").withColumn("e", F.explode(F.array("low", "high"))).where("doc <> e.doc")
-    # each pair stands once, with the larger document first
-    swap = F.col("e.doc") > F.col("doc")
-    sides = {n: (F.col(n), F.col(f"e.{n}")) for n in ("doc", "bid", "lo", "hi")}
-    big = {n: F.when(swap, y).otherwise(x) for n, (x, y) in sides.items()}
-    small = {n: F.when(swap, x).otherwise(y) for n, (x, y) in sides.items()}
-    pairs = met.select(
-        big["doc"].alias("a"), big["bid"].alias("bid_a"), small["doc"].alias("b"), small["bid"].alias("bid_b"), "f",
-        big["lo"].alias("a_lo"), big["hi"].alias("a_hi"), small["lo"].alias("b_lo"), small["hi"].alias("b_hi"),
+    bodies = packed.select("bid", "body")
+    flags = cut(bodies.mapInArrow(_send(ranges), "r long, bid long, blob binary").groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL))
+    same = copies(packed)
+    told = flags.unionByName(same.select(F.shiftright("row", IDX_BITS).alias("bid"), F.lit(COPY).alias("kind"), F.pmod("row", F.lit(1 << IDX_BITS)).alias("r"), F.lit(None).cast("binary").alias("blob")))
+    nodes = stored(bodies.groupBy("bid").cogroup(told.groupBy("bid")).applyInArrow(_meetings(ranges), _NODE_SQL), "nodes")
+    # equal stretches are a class: its members meet its first
+    leads = nodes.where("lead").select("content", "row", "first", "last")
+    classes = cut(leads.groupBy("content").agg(F.min(F.struct("row", "first", "last")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select("content", "h"))
+    members = leads.join(classes, "content").where("row <> h.row").select(*_paired("", "h."))
+    # the classes of a key meet its first, those that aren't linked with it at its place the first of these, and so on
+    one = F.struct("row", "first", "last", "place")
+    open_ = stored(nodes.groupBy("key", "content").agg(F.min(one).alias("h")).select("key", "h.*"), "heads")
+    tokens, found = None, []
+    for turn in range(ROUNDS):
+        reps = cut(open_.groupBy("key").agg(F.min(one).alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+        star = stored(open_.join(reps.drop("n"), "key"), "star")
+        pairs = star.where("row <> rep.row").select(*_paired("", "rep."))
+        pairs = stored(_by_pair(pairs if turn else pairs.unionByName(members)), "pairs")
+        if not turn:
+            wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+            tokens = stored(bodies.groupBy("bid").cogroup(wanted.groupBy(F.shiftright("row", IDX_BITS))).applyInArrow(_tokens_of, "row long, doc long, tokens binary"), "tokens")
+            every = star.drop("rep")
+        found.append(stored(_verified(pairs, tokens), "found"))
+        held = stored(_labelled(every, found), "held")
+        open_ = held.where("open").drop("label", "open")
+    # those of a key whose classes differ all meet, and in small keys also those of a class that lie in no stretch yet
+    left = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("open").alias("open"), F.count(F.lit(1)).alias("n")).where((F.col("low") < F.col("high")) | F.col("open") & (F.col("n") <= few))
+    left = cut(left.select("key", "n"))
+    apart = stored(held.join(left, "key").withColumn("open", F.col("open") & (F.col("n") <= few)), "apart")
+    met = _met(apart.where(F.col("n") <= few).drop("n").withColumn("near", F.lit(None).cast("binary")), left.where(F.col("n") <= few), block)
+    near = stored(_near(apart.where(F.col("n") > few), tokens), "near")
+    met = met.unionByName(_met(near.where(F.col("n") <= block).drop("n"), left.where(F.col("n").between(few + 1, block)), block))
+    rare = stored(_rare_keys(near.where(F.col("n") > block).drop("n")), "rare")
+    met = met.unionByName(_met(rare, rare.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), block))
+    later = stored(_by_pair(met), "later")
+    found = stored(_all([*found, _verified(later, tokens)]).dropDuplicates(["a", "b", "a_first", "a_last", "b_first", "b_last"]), "stretches")
+    # classes of documents
+    links = found.select("doc_a", "doc_b").unionByName(same.select(F.col("doc").alias("doc_a"), F.col("first_doc").alias("doc_b"))).where("doc_a <> doc_b").distinct()
+    roots = cut(components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))))
+    rows = found.select(
+        F.col("doc_a").alias("doc_id"), F.col("a_first").cast("long").alias("start_word"), (F.col("a_last") + SHINGLE).cast("long").alias("end_word"),
+        F.col("doc_b").alias("other_doc_id"), F.col("b_first").cast("long").alias("other_start_word"), (F.col("b_last") + SHINGLE).cast("long").alias("other_end_word"), "similarity",
     )
-    dealt = pairs.repartition("a", "b").sortWithinPartitions("a", "bid_a", "b", "bid_b")
-    found = stored(dealt.mapInArrow(_candidates, "a long, bid_a long, b long, bid_b long, a_lo long, a_hi long, b_lo long, b_hi long"), "candidates")
-    wanted = found.select(F.col("a").alias("doc"), F.col("bid_a").alias("bid")).unionByName(found.select(F.col("b").alias("doc"), F.col("bid_b").alias("bid")))
-    # of rows of one id those of one block stand for all
-    wanted = wanted.groupBy("doc").agg(F.min("bid").alias("bid"))
-    tokens = stored(packed.groupBy("bid").cogroup(wanted.groupBy("bid")).applyInArrow(_tokens_of, "doc long, tokens array<int>"), "tokens")
-
-    def part(side: str):
-        return F.slice("tokens", F.col(f"{side}_lo").cast("int") + 1, (F.col(f"{side}_hi") - F.col(f"{side}_lo") + 1).cast("int"))
-
-    told = found.join(tokens.withColumnRenamed("doc", "a"), "a").select("a", "b", "a_lo", "b_lo", "b_hi", part("a").alias("x"))
-    told = told.join(tokens.withColumnRenamed("doc", "b"), "b").select("a", "b", "a_lo", "b_lo", "x", part("b").alias("y"))
-    return told.mapInArrow(_verify, "doc_id long, start_word long, end_word long, other_doc_id long, other_start_word long, other_end_word long, similarity double")
+    n, zero = F.col("n").cast("long"), F.lit(0).cast("long")
+    whole = same.where("doc <> first_doc").select(
+        F.col("doc").alias("doc_id"), zero.alias("start_word"), n.alias("end_word"), F.col("first_doc").alias("other_doc_id"), zero.alias("other_start_word"), n.alias("other_end_word"), F.lit(1.0).alias("similarity")
+    )
+    return rows.unionByName(whole).join(roots.select(F.col("node").alias("doc_id"), F.col("root").alias("class_id")), "doc_id")
 
 
 @query("op10_compact_windows")

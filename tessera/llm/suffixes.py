@@ -29,6 +29,8 @@ WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 #: Bytes of text in a block and of the input for one hash range, about.
 BLOCK_BYTES, RANGE_BYTES = 6 << 20, 12 << 20
+#: A block has 2^IDX_BITS documents at most, so that a document's number (bid, place in it) is a long.
+IDX_BITS = 19
 #: Windows whose hashes are held at once.
 CHUNK = 1 << 18
 _LAST = np.iinfo(np.int64).max
@@ -65,12 +67,24 @@ def _unpack(blob: bytes) -> list:
     return out
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """Rows (bid, n_bytes, body) of packed documents: ids, null flags, sizes and texts."""
+def blocks(docs: DataFrame, words: int = 0) -> DataFrame:
+    """Rows (bid, n_bytes, body) of packed documents: ids, null flags, sizes and texts. words: also heads, of each document with so many words and an id its place in the block, doc_id, number of words and a digest of the words (A-Z in lower case)."""
+    fields = [("bid", pa.int64()), ("n_bytes", pa.int64()), ("body", pa.binary())]
+    sql = "bid long, n_bytes long, body binary"
+    if words:
+        fields.append(("heads", pa.list_(pa.struct([("idx", pa.int32()), ("doc", pa.int64()), ("n", pa.int32()), ("digest", pa.binary())]))))
+        sql += ", heads array<struct<idx int, doc long, n int, digest binary>>"
+
+    def head(k: int, i: int | None, text: bytes) -> list[tuple]:
+        own = text.lower().split() if i is not None else []
+        return [(k, i, len(own), hashlib.blake2b(b" ".join(own), digest_size=16).digest())] if len(own) >= words else []
 
     def row(pid: int, seq: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
         body = _pack(np.array([_LAST if i is None else i for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), np.array([len(t) for t in texts], np.int64), b"".join(texts))
-        return pa.RecordBatch.from_arrays([pa.array([pid << 24 | seq], pa.int64()), pa.array([sum(map(len, texts))], pa.int64()), pa.array([body], pa.binary())], ["bid", "n_bytes", "body"])
+        values = [pid << 24 | seq, sum(map(len, texts)), body]
+        if words:
+            values.append([h for k, (i, t) in enumerate(zip(ids, texts, strict=True)) for h in head(k, i, t)])
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(values, fields, strict=True)], [n for n, _ in fields])
 
     def run(batches):
         from pyspark import TaskContext
@@ -79,7 +93,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                if ids and size + len(raw) > BLOCK_BYTES:
+                if ids and (size + len(raw) > BLOCK_BYTES or len(ids) == 1 << IDX_BITS):
                     yield row(pid, seq, ids, texts)
                     seq, ids, texts, size = seq + 1, [], [], 0
                 ids.append(i), texts.append(raw)
@@ -87,7 +101,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield row(pid, seq, ids, texts)
 
-    return keyed_texts(docs).mapInArrow(run, "bid long, n_bytes long, body binary")
+    return keyed_texts(docs).mapInArrow(run, sql)
 
 
 class Block:

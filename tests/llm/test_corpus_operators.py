@@ -333,18 +333,24 @@ def test_jensen_shannon(spark):
 
 def test_passages(docs, corpus):
     got = passages.near_duplicate_passages(odd(docs)).collect()
-    words = {i: (t or "").lower().split() for i, t, *_ in corpus}
-    owners = defaultdict(set)
-    for i, w in words.items():
-        if i is not None:
-            for k in range(len(w) - 49):
-                owners[tuple(w[k : k + 50])].add(i)
+    words, owners = defaultdict(list), defaultdict(set)  # an id may have several rows
+    for i, t, *_ in corpus:
+        w = (t or "").lower().split()
+        words[i].append(w)
+        for k in range(len(w) - 49) if i is not None else ():
+            owners[tuple(w[k : k + 50])].add(i)
     need = {i for own in owners.values() if len(own) > 1 for i in own}
     assert need <= {r["doc_id"] for r in got} | {r["other_doc_id"] for r in got}
-    for r in got:
-        a, b = words[r["doc_id"]][r["start_word"] : r["end_word"]], words[r["other_doc_id"]][r["other_start_word"] : r["other_end_word"]]
+
+    def similarity(r, u, v):
+        a, b = u[r["start_word"] : r["end_word"]], v[r["other_start_word"] : r["other_end_word"]]
         x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b))
-        assert r["doc_id"] != r["other_doc_id"] and max(len(a), len(b)) >= 50 and len(x & y) / len(x | y) == pytest.approx(r["similarity"]) and r["similarity"] >= 0.8
+        return len(x & y) / max(1, len(x | y))
+
+    for r in got:
+        assert r["doc_id"] != r["other_doc_id"] and r["similarity"] >= 0.8
+        assert max(r["end_word"] - r["start_word"], r["other_end_word"] - r["other_start_word"]) >= 50
+        assert any(similarity(r, u, v) == pytest.approx(r["similarity"]) for u in words[r["doc_id"]] for v in words[r["other_doc_id"]])
 
 
 def test_passage_with_repeated_phrase():
@@ -369,14 +375,92 @@ def test_passage_with_repeated_phrase():
 
 
 def test_passages_in_another_order():
-    """Windows of two passages that interleave in one text and are apart in the other are two candidates."""
+    """Windows of two passages that interleave in one text and are apart in the other are two candidates, also over batches."""
     import pyarrow as pa
 
-    windows = [(0, 0, 60, 500, 560), (1, 5, 65, 10, 70), (2, 10, 70, 500, 560), (3, 15, 75, 10, 70)]
-    columns = [pa.array(c, pa.int64()) for c in zip(*((9, 1, 4, 1, *w) for w in windows))]
-    batch = pa.RecordBatch.from_arrays(columns, ["a", "bid_a", "b", "bid_b", "f", "a_lo", "a_hi", "b_lo", "b_hi"])
-    got = [tuple(r.values()) for b in passages._candidates([batch]) for r in b.to_pylist()]
-    assert sorted(got) == [(9, 1, 4, 1, 0, 70, 500, 560), (9, 1, 4, 1, 5, 75, 10, 70)]
+    windows = [(0, 60, 500, 560), (5, 65, 10, 70), (10, 70, 500, 560), (15, 75, 10, 70)]
+    rows = [(9, 4, *w) for w in windows] + [(9, 5, 1, 50, 1, 50)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"]) for part in (rows[:2], rows[2:])]
+    got = [tuple(r.values()) for b in passages._stretches(batches) for r in b.to_pylist()]
+    assert [g[:2] for g in got] == [(9, 4), (9, 5)] and sorted(zip(*got[0][2:], strict=True)) == [(0, 70, 500, 560), (5, 75, 10, 70)]
+
+
+def brute_pairs(rows):
+    """Pairs of ids whose texts share 50 words in a row, and of those with a stretch of 50 words of five-word similarity 0.8."""
+    words = {i: t.lower().split() for i, t in rows}
+    grams = {i: [tuple(w[k : k + 5]) for k in range(len(w) - 4)] for i, w in words.items()}
+    equal, near = set(), set()
+    for i, x in grams.items():
+        for j, y in grams.items():
+            if i < j:
+                spans = [(set(x[a : a + 46]), a) for a in range(0, len(x) - 45)]
+                others = [set(y[b : b + 46]) for b in range(0, len(y) - 45)]
+                if {tuple(x[a : a + 46]) for a in range(len(x) - 45)} & {tuple(y[b : b + 46]) for b in range(len(y) - 45)}:
+                    equal.add((i, j))
+                if any(len(u & v) >= 0.8 * len(u | v) for u, _ in spans for v in others):
+                    near.add((i, j))
+    return equal, near
+
+
+def classes_of(pairs):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize("few, block", [(32, 512), (2, 512), (2, 4)])
+def test_passages_against_all_pairs(spark, few, block):
+    """Equal passages are all found and similar ones as often as chance says, in whichever way the nodes of a key meet; classes are those of all pairs."""
+    rng = random.Random(3)
+    new = iter(range(10**6))
+    fresh = lambda n: [f"w{next(new)}" for _ in range(n)]
+    line = fresh(14)
+    rows = []
+    for g in range(14):
+        passage = fresh(60)
+        for k in range(3):
+            own = list(passage)
+            for p in rng.sample(range(60), k):
+                own[p] = fresh(1)[0]
+            rows.append((10 * g + k, " ".join(fresh(rng.randint(0, 30)) + line + own + fresh(rng.randint(0, 30)))))
+    equal, near = brute_pairs(rows)
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA).repartition(3)
+    out = passages.near_duplicate_passages(docs, few, block).collect()
+    got = {tuple(sorted((r["doc_id"], r["other_doc_id"]))) for r in out}
+    own, want = classes_of(got), classes_of(near)
+    assert len(near) >= 20 and all(own.get(i) == own.get(j) is not None for i, j in equal)
+    assert np.mean([own.get(i) == own.get(j) is not None for i, j in near]) >= 0.9
+    assert all(want.get(i) == want.get(j) for i, j in got) and {r["doc_id"]: r["class_id"] for r in out}.items() <= own.items()
+
+
+def test_passages_behind_quotes(spark):
+    """Documents that quote a passage's shingles one by one, with smaller and larger ids, don't hide two that share it, nor do rows of one id."""
+    new = iter(range(10**6))
+    fresh = lambda n: [f"w{next(new)}" for _ in range(n)]
+    passage = fresh(60)
+
+    def quotes():
+        return " ".join(x for k in range(56) for x in passage[k : k + 5] + fresh(3))
+
+    rows = [(k, quotes()) for k in range(15)] + [(k, quotes()) for k in range(50, 65)]
+    rows += [(i, " ".join(fresh(20) + passage + fresh(20))) for i in (30, 31)]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA).repartition(3)
+    got = [r for r in passages.near_duplicate_passages(docs).collect() if r["similarity"] == 1]
+    assert [(r["doc_id"], r["other_doc_id"], r["end_word"] - r["start_word"]) for r in got] in ([(31, 30, 60)], [(30, 31, 60)])
+    other = " ".join(fresh(80))
+    rows = [(1, " ".join(fresh(9) + passage)), (2, other), (2, " ".join(passage + fresh(9))), (3, other), (3, " ".join(fresh(7) + passage)), (None, other)]
+    got = passages.near_duplicate_passages(spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA).coalesce(1)).collect()
+    assert {frozenset((r["doc_id"], r["other_doc_id"])) for r in got} >= {frozenset((1, 2)), frozenset((2, 3))} and {r["class_id"] for r in got} == {1}
+    assert any(r["end_word"] - r["start_word"] == 80 and {r["doc_id"], r["other_doc_id"]} == {2, 3} for r in got)
 
 
 @pytest.mark.parametrize("function", [0, 1])
