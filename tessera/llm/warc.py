@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import cut, stored
 from tessera.llm.registry import query
 
-#: Payload bytes of one archive, about; a larger page has an archive of its own.
-ARCHIVE_BYTES = 8 << 20
+#: Bytes of records in one archive, about (a larger record has an archive of its own), and of records in a batch.
+ARCHIVE_BYTES, BATCH_BYTES = 2 << 20, 1 << 20
 #: Payloads under so many bytes are never revisits.
 REVISIT_BYTES = 0
 
@@ -44,26 +44,34 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """A response with its payload, or a revisit of another page's response. Line breaks in a url would end its header, so they are escaped."""
-    revisit = refers_to is not None
-    body = _HTTP + (b"" if revisit else payload)
+def _framed(page_id: int | None, url: str | None, sha1: str, n: int, kind: str, more: dict[str, str], body: bytes) -> bytes:
+    """A record. Line breaks in a url would end its header, so they are escaped."""
     uri = (url if url is not None else "about:blank").replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
     head = {
-        "WARC-Type": "revisit" if revisit else "response",
+        "WARC-Type": kind,
         "WARC-Record-ID": f"<urn:page:{'' if page_id is None else page_id}>",
         "WARC-Date": _DATE,
         "WARC-Target-URI": uri,
-        "WARC-Payload-Digest": f"sha1:{digest(payload)}",
-        "WARC-Payload-Length": str(len(payload)),
+        "WARC-Payload-Digest": f"sha1:{sha1}",
+        "WARC-Payload-Length": str(n),
         "Content-Type": "application/http; msgtype=response",
-    }
-    if revisit:
-        head |= {"WARC-Profile": _PROFILE, "WARC-Refers-To": f"<urn:page:{refers_to}>"}
+    } | more
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
     return f"WARC/1.1\r\n{lines}Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
 
 
+def revisit(page_id: int | None, url: str | None, sha1: str, n: int, refers_to: int) -> bytes:
+    """A revisit of another page's response, whose payload (sha1, n bytes) it doesn't hold."""
+    return _framed(page_id, url, sha1, n, "revisit", {"WARC-Profile": _PROFILE, "WARC-Refers-To": f"<urn:page:{refers_to}>"}, _HTTP)
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+    """A response with its payload, or a revisit of another page's response."""
+    if refers_to is not None:
+        return revisit(page_id, url, digest(payload), len(payload), refers_to)
+    return _framed(page_id, url, digest(payload), len(payload), "response", {}, _HTTP + payload)
+
+
 def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     """The headers and the payload behind the HTTP head."""
     version, _, rest = raw.partition(b"\r\n")
@@ -166,15 +174,23 @@ class ZipReader:
         return self.read(self.start(name) + start, size)
 
 
+def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+    """A record as a gzip member."""
+    return gzip.compress(record(page_id, url, payload, refers_to), 1, mtime=0)
+
+
+def pack_members(members: list[tuple[int | None, bytes]], zip64: bool = False) -> bytes:
+    """An archive of gzip members (page_id, bytes) and their index."""
+    index, at = [], 0
+    for page_id, raw in members:
+        index.append(json.dumps({"page": page_id, "offset": at, "length": len(raw)}))
+        at += len(raw)
+    return write_zip([(MEMBER, b"".join(m for _, m in members)), (INDEX, "\n".join(index).encode())], zip64)
+
+
 def pack(records: list[tuple[int | None, str | None, bytes, int | None]], zip64: bool = False) -> bytes:
     """An archive of records (page_id, url, payload, refers_to) and their index."""
-    data, index, at = [], [], 0
-    for page_id, url, payload, refers_to in records:
-        member = gzip.compress(record(page_id, url, payload, refers_to), 1, mtime=0)
-        data.append(member)
-        index.append(json.dumps({"page": page_id, "offset": at, "length": len(member)}))
-        at += len(member)
-    return write_zip([(MEMBER, b"".join(data)), (INDEX, "\n".join(index).encode())], zip64)
+    return pack_members([(r[0], member(*r)) for r in records], zip64)
 
 
 def read_records(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[int | None, dict[str, str], bytes]]:
@@ -187,32 +203,70 @@ def read_records(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple
         yield entry["page"], fields, payload
 
 
-def archives(pages: DataFrame) -> DataFrame:
-    """Rows (name, content) of archives: of pages with equal payloads the one with the smallest id is a response, the others refer to it."""
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
-    keyed = own.withColumn("sha", F.sha2("payload", 256))
-    # ids and digests alone go through the shuffle that finds each payload's first page
-    first = keyed.select("sha", "page_id").groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first")
-    target = F.when((F.length("payload") >= REVISIT_BYTES) & (F.col("page_id") > F.col("first")), F.col("first"))
-    told = keyed.join(first, "sha", "left").select("page_id", "url", "payload", target.alias("refers_to"))
-
-    def write(batches):
+def _responses(batches):
+    """Of pages (page_id, url, html): their numbers, digests and records as responses, some bytes at a time."""
+    from pyspark import TaskContext
+
+    at, kinds = TaskContext.get().partitionId() << 40, (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.binary())
+    names = ["row", "page_id", "url", "same", "sha1", "n", "member"]
+    for batch in batches:
+        rows, size = [], 0
+        for page_id, url, html in zip(*batch.columns, strict=True):
+            page_id, url = page_id.as_py(), url.as_py()
+            payload = html.as_buffer().to_pybytes() if html.is_valid else b""
+            rows.append((at, page_id, url, hashlib.sha256(payload).digest(), digest(payload), len(payload), member(page_id, url, payload, None)))
+            at, size = at + 1, size + len(rows[-1][-1])
+            if size > BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+
+def _write(most: int):
+    """Archives of records of so many bytes, about; a row with a target is written anew as a revisit."""
+
+    def archive(held: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f"{held[0][0]}.wacz"]), pa.array([pack_members(held)], pa.binary())], ["name", "content"])
+
+    def run(batches):
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and size + len(row[2]) > ARCHIVE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([f"{held[0][0]}.wacz"]), pa.array([pack(held)], pa.binary())], ["name", "content"])
+            for page_id, url, sha1, n, target, raw in zip(*batch.columns, strict=True):
+                page_id, target = page_id.as_py(), target.as_py()
+                raw = raw.as_buffer().to_pybytes() if target is None else gzip.compress(revisit(page_id, url.as_py(), sha1.as_py(), n.as_py(), target), 1, mtime=0)
+                if held and size + len(raw) > most:
+                    yield archive(held)
                     held, size = [], 0
-                held.append(row)
-                size += len(row[2])
+                held.append((page_id, raw))
+                size += len(raw)
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([f"{held[0][0]}.wacz"]), pa.array([pack(held)], pa.binary())], ["name", "content"])
+            yield archive(held)
 
-    return told.mapInArrow(write, "name string, content binary")
+    return run
 
 
-def records(packed: DataFrame) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to and payload (null of a revisit) of every record of archives (name, content). A response's payload is held against its digest."""
+def archives(pages: DataFrame) -> DataFrame:
+    """Rows (name, content) of archives: of pages with equal payloads the one with the smallest id is a response, the others refer to it.
+
+    Records are compressed where their pages are read. Ids and digests alone find each payload's first page, also where very many pages have one payload; records then meet their targets by their own number, so each goes through one shuffle, compressed, and none through a group.
+    """
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.col("html").cast("string"), "UTF-8").alias("html"))
+    made = stored(own.mapInArrow(_responses, "row long, page_id long, url string, same binary, sha1 string, n long, member binary"), "records")
+    ids = made.where(F.col("n") >= REVISIT_BYTES).select("row", "page_id", "same")
+    first = cut(ids.groupBy("same").agg(F.min("page_id").alias("target"), F.count(F.lit(1)).alias("times")).where("times > 1").select("same", "target"))
+    targets = cut(ids.join(first, "same").where("page_id > target").select("row", "target"))
+    told = made.join(targets, "row", "left").select("page_id", "url", "sha1", "n", "target", F.when(F.col("target").isNull(), F.col("member")).alias("member"))
+    return told.mapInArrow(_write(ARCHIVE_BYTES), "name string, content binary")
+
+
+def records(packed: DataFrame, with_payload: bool = True) -> DataFrame:
+    """page_id, url, payload_bytes, payload_digest, record_type, refers_to and, if asked for, payload (null of a revisit) of every record of archives (name, content). A response's payload is held against its digest."""
+    sql = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    if with_payload:
+        sql, kinds = sql + ", payload binary", [*kinds, pa.binary()]
+    names = [c.split()[0] for c in sql.split(", ")]
 
     def page(urn: str | None) -> int | None:
         return int(urn[10:-1]) if urn else None
@@ -221,18 +275,23 @@ def records(packed: DataFrame) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 view = content.as_buffer()
-                rows = []
+                rows, size = [], 0
                 for page_id, fields, payload in read_records(lambda a, n, view=view: view.slice(a, n).to_pybytes(), view.size):
-                    revisit = fields["WARC-Type"] == "revisit"
+                    again = fields["WARC-Type"] == "revisit"
                     said = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if not revisit and digest(payload) != said:
+                    if not again and digest(payload) != said:
                         raise ValueError(f"payload of page {page_id} differs from its digest")
                     uri = fields["WARC-Target-URI"].replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
-                    rows.append((page_id, uri, int(fields["WARC-Payload-Length"]) if revisit else len(payload), said, fields["WARC-Type"], page(fields.get("WARC-Refers-To")), None if revisit else payload))
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+                    row = page_id, uri, int(fields["WARC-Payload-Length"]) if again else len(payload), said, fields["WARC-Type"], page(fields.get("WARC-Refers-To"))
+                    rows.append((*row, None if again else payload) if with_payload else row)
+                    size += len(payload) if with_payload else 0
+                    if size > BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return packed.mapInArrow(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    return packed.mapInArrow(read, sql)
 
 
 ORACLE = """
@@ -252,4 +311,4 @@ FROM firsts JOIN digests USING (page_id)
 @query("op8_warc", ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = stored(archives(spark.read.parquet(f"{sf_dir}/pages.parquet")), "archives")
-    return records(packed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return records(packed, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

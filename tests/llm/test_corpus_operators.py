@@ -297,6 +297,23 @@ def test_warc(spark):
     assert sorted((tuple(r)[:6] for r in got), key=str) == sorted(want, key=str)
 
 
+def test_warc_hot_payload(spark, monkeypatch):
+    """Half of all pages equal, over many partitions, and a page larger than an archive."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    rng = random.Random(7)
+    big = "".join(chr(rng.randint(33, 0x2FFF)) for _ in range(100_000))
+    rows = [(k, f"http://h{k}/", "<p>same</p>" if k % 2 else f"<p>{rng.random()}</p>") for k in range(1200)] + [(5000, "http://big/", big), (5001, "http://big/", big)]
+    packed = warc.archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(200))
+    assert packed.count() > 4
+    got = {r["page_id"]: r for r in warc.records(packed).collect()}
+    assert len(got) == len(rows)
+    for k, u, h in rows:
+        target = 1 if k % 2 and 1 < k < 1200 else 5000 if k == 5001 else None
+        r = got[k]
+        assert (r["url"], r["payload_bytes"], r["payload_digest"], r["refers_to"]) == (u, len(h.encode()), warc.digest(h.encode()), target)
+        assert r["payload"] == (None if target is not None else h.encode())
+
+
 def brute_counts(t):
     words = re.findall("[^\x20\x09-\x0d]+", t or "")
     lines = [x for x in (t or "").split("\n") if re.search("[^\x20\x09-\x0d]", x)]
@@ -379,10 +396,11 @@ def test_passages_in_another_order():
     import pyarrow as pa
 
     windows = [(0, 60, 500, 560), (5, 65, 10, 70), (10, 70, 500, 560), (15, 75, 10, 70)]
-    rows = [(9, 4, *w) for w in windows] + [(9, 5, 1, 50, 1, 50)]
-    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"]) for part in (rows[:2], rows[2:])]
+    rows = [(9, 4, *w, k, w[0], w[2]) for k, w in enumerate(windows)] + [(9, 5, 1, 50, 1, 50, 7, 2, 3)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi", "key", "a_place", "b_place"]) for part in (rows[:2], rows[2:])]
     got = [tuple(r.values()) for b in passages._stretches(batches) for r in b.to_pylist()]
-    assert [g[:2] for g in got] == [(9, 4), (9, 5)] and sorted(zip(*got[0][2:], strict=True)) == [(0, 70, 500, 560), (5, 75, 10, 70)]
+    assert [g[:2] for g in got] == [(9, 4), (9, 5)] and sorted(zip(*got[0][2:6], strict=True)) == [(0, 70, 500, 560), (5, 75, 10, 70)]
+    assert sorted(got[0][6]) == [0, 1, 2, 3] and got[1][6:] == ([7], [2], [3])
 
 
 def brute_pairs(rows):
@@ -469,7 +487,7 @@ def test_compact_windows(function):
     token, count = rng.integers(0, 400, 700).astype(np.uint64), np.array([100, 0, 300, 45, 46, 209])
     want, s = [], 0
     for t, n in enumerate(count):
-        v = [(a, i) for i, a in enumerate((passages._mixed(token[s : s + n] + np.uint64((function + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(32)).tolist())]
+        v = [(a, i) for i, a in enumerate(passages.order_of(token[s : s + n], function).tolist())]
         s += n
         for c in range(n):
             lo = max((k + 1 for k in range(c) if v[k] < v[c]), default=0)
