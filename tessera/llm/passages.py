@@ -4,7 +4,7 @@ A document's tokens are the shingles of five words. Under a hash function, all s
 
 1. Documents are packed into compressed blocks (as for exact dedup). Of documents with the same words one stands for all, and the others are linked with it. Each block sends its windows' token hashes and hears which of them another document has too.
 2. Windows that are left and overlap in their document are taken together: their smallest tokens under two functions are a node's key, what they have in common is its stretch. So nodes meet only where ENOUGH functions agree, and a popular shingle alone joins nothing.
-3. Nodes of equal stretches are a class and meet its first. The first ones of a key's classes meet the first of the key, and those in no stretch that was found the first of these.
+3. The nodes of a key meet its first, and those in no stretch that was found the first of these.
 4. Then nodes of a key whose documents aren't linked yet all meet, and in keys of FEW nodes also those that lie in no stretch yet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond a block are parted by rare tokens that similar stretches must share.
 5. Stretches that meet are verified on the shingles themselves: shared shingles are chained over all their places in the other text, by the diagonals that most of them share, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
@@ -41,7 +41,6 @@ CELL = 8
 COPY = 2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _GAP = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-_STEP = 0x9E3779B97F4A7C15
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -86,10 +85,27 @@ def shingles(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(total)[np.cumsum(edge)[: len(total)] > 0], count
 
 
+def order_of(token: np.ndarray, function: int) -> np.ndarray:
+    """The tokens' values under a function, in 32 bits; none is 0."""
+    with np.errstate(over="ignore"):
+        seed, odd = _mixed(np.array([2 * function + 1, 2 * function + 2], np.uint64))
+        return np.maximum(((token ^ seed) * (odd | np.uint64(1)) >> np.uint64(32)).astype(np.uint32), np.uint32(1))
+
+
+def _sliding(x: np.ndarray, best: np.ufunc) -> np.ndarray:
+    """The least or greatest of each TOKENS in a row."""
+    out, size = x, 1
+    while 2 * size <= TOKENS:
+        out = best(out[:-size], out[size:])
+        size *= 2
+    n = len(x) - TOKENS + 1
+    return best(out[:n], out[TOKENS - size : TOKENS - size + n])
+
+
 def compact_windows(token: np.ndarray, count: np.ndarray, function: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, l, c, r) of the Cartesian tree's nodes of TOKENS tokens at least, places within their text. Of equal values the leftmost is the smaller.
 
-    The smallest token of a window that slides over the text moves to the right only, so nodes are the runs of equal minima. The nearest smaller token on either side of a node is itself a node (its window holds the node's), so both are looked for among nodes alone.
+    Such a node is the least of TOKENS in a row. The nearest smaller token on either side of it is one as well (its window holds the node's), so both are looked for among these alone.
     """
     n = len(token)
     none = np.zeros(0, np.int64)
@@ -98,20 +114,14 @@ def compact_windows(token: np.ndarray, count: np.ndarray, function: int) -> tupl
     # a zero stands before, between and after the texts and ends every window
     text = np.repeat(np.arange(len(count)), count)
     at = np.arange(n) + text + 1
-    value = np.zeros(n + len(count) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        h = _mixed(token + np.uint64((function + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(32)
-    value[at] = np.maximum(h, np.uint64(1)) << np.uint64(32) | at.astype(np.uint64)
-    low, size = value, 1
-    while 2 * size <= TOKENS:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    low = np.minimum(low[: len(value) - TOKENS + 1], low[TOKENS - size : TOKENS - size + len(value) - TOKENS + 1])
-    v = low[np.append(True, low[1:] != low[:-1])]
-    v = v[v > 0]
-    if not len(v):
+    value = np.zeros(n + len(count) + 1, np.uint32)
+    value[at] = order_of(token, function)
+    edge = np.zeros(TOKENS - 1, np.uint32)
+    most = _sliding(np.concatenate([edge, _sliding(value, np.minimum), edge]), np.maximum)
+    c = np.flatnonzero((most == value) & (value > 0))
+    if not len(c):
         return none, none, none, none
-    c = (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    v = value[c].astype(np.uint64) << np.uint64(32) | c.astype(np.uint64)
     t = text[np.searchsorted(at, c)]
     first = (np.cumsum(count) - count + np.arange(len(count)) + 1)[t]
     # nodes alone, a zero before, between and after the texts as above
@@ -137,17 +147,19 @@ def compact_windows(token: np.ndarray, count: np.ndarray, function: int) -> tupl
         right = np.where(ok, right + step, right)
     lo = np.where(nodes[left - 1] > 0, where[left - 1] + 1, first)
     hi = np.where(nodes[right + 1] > 0, where[right + 1], first + count[t]) - 1
-    return t, lo - first, c - first, hi - first
+    long = hi - lo + 1 >= TOKENS
+    return t[long], (lo - first)[long], (c - first)[long], (hi - first)[long]
 
 
 class Windows:
-    """A block's documents and their compact windows."""
+    """A block's documents and the compact windows of those that have an id and aren't copies (places in the block)."""
 
-    def __init__(self, body: bytes):
+    def __init__(self, body: bytes, copies: np.ndarray):
         self.ids, self.no_id, sizes, raw = _unpack(body)
+        alone = self.no_id == 0
+        alone[copies] = False
         ends = np.cumsum(sizes)
         parts = [[np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]]
-        tokens = [np.zeros(0, np.uint64)]
         a = 0
         self.count = np.zeros(len(sizes), np.int64)
         while a < len(sizes):  # some texts at a time, as the minima take much room
@@ -155,23 +167,21 @@ class Windows:
             base = int(ends[a - 1]) if a else 0
             token, count = shingles(raw[base : int(ends[b - 1])], ends[a:b] - base)
             self.count[a:b] = count
-            tokens.append(token)
             start = np.cumsum(count) - count
             for f in range(HASHES):
                 t, lo, c, hi = compact_windows(token, count, f)
-                known = self.no_id[t + a] == 0
+                known = alone[t + a]
                 t, lo, c, hi = t[known], lo[known], c[known], hi[known]
                 parts.append([t + a, lo, c, hi, np.full(len(t), f), _mixed(token[start[t] + c] + np.uint64(f + 1))])
             a = b
         self.text, self.lo, self.c, self.hi, self.function, self.key = (np.concatenate(x) for x in zip(*parts, strict=True))
-        self.tokens = np.concatenate(tokens)
 
     def hashes(self, ranges: int):
         """(range, sorted distinct token hashes, whether two of the block's documents have each)."""
         return by_range(*distinct(self.key, self.ids[self.text])[:2], ranges)
 
     def meetings(self, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(key, text, first, last, place, content) of wanted windows of two functions that hold a common subsequence of TOKENS: the two smallest tokens are the key, the overlap is the stretch, place is the first function's smallest token, content a hash of the stretch, lead the first of a text's rows of one content. Of a text's equal stretches of a key the first stands for all."""
+        """(key, text, first, last, place) of wanted windows of two functions that hold a common subsequence of TOKENS: the two smallest tokens are the key, the overlap is the stretch, place is the first function's smallest token. Several of a key in one text are one from the first to the last of them."""
         text, lo, c, hi, f, key = (x[wanted] for x in (self.text, self.lo, self.c, self.hi, self.function, self.key))
         # windows of a token that comes again before a smaller one does: the first holds all, its smallest token stands anywhere from c to far
         order = np.lexsort((c, key, f, text))
@@ -198,53 +208,45 @@ class Windows:
         place = np.where((place < first) & (far[a] >= first), first, place)
         with np.errstate(over="ignore"):
             both = _mixed(key[a] * np.uint64(0x9E3779B97F4A7C15) ^ key[b])
-            base = (np.cumsum(self.count) - self.count)[text]
-            power = np.cumprod(np.full(len(self.tokens) + 1, _STEP, np.uint64))
-            back = np.cumprod(np.full(len(self.tokens) + 1, pow(_STEP, -1, 1 << 64), np.uint64))
-            total = np.append(np.uint64(0), np.cumsum(self.tokens * power[: len(self.tokens)]))
-            content = _mixed((total[base + last + 1] - total[base + first]) * back[base + first] + (last - first).astype(np.uint64))
-        order = np.lexsort((first, content, both, text))
-        text, both, content, first, last, place = (x[order] for x in (text, both, content, first, last, place))
+        order = np.lexsort((first, both, text))
+        text, both, first, last, place = (x[order] for x in (text, both, first, last, place))
         new = np.ones(len(text), bool)
-        new[1:] = (text[1:] != text[:-1]) | (both[1:] != both[:-1]) | (content[1:] != content[:-1])
-        text, both, content, first, last, place = (x[new] for x in (text, both, content, first, last, place))
-        order = np.lexsort((content, text))
-        lead = np.zeros(len(text), bool)
-        lead[order[np.append(True, (text[order][1:] != text[order][:-1]) | (content[order][1:] != content[order][:-1]))[: len(order)]]] = True
-        return both, text, first, last, place, content, lead
+        new[1:] = (text[1:] != text[:-1]) | (both[1:] != both[:-1])
+        at = np.flatnonzero(new)
+        return both[at], text[at], first[at], np.maximum.reduceat(last, at) if len(at) else last, place[at]
+
+
+def _copies_in(messages: pa.Table) -> np.ndarray:
+    return np.array([r for kind, r in zip(messages["kind"].to_pylist(), messages["r"].to_pylist(), strict=True) if kind == COPY], np.int64)
 
 
 def _send(ranges: int):
-    def run(batches):
-        for batch in batches:
-            for bid, body in zip(batch.column("bid").to_pylist(), batch.column("body"), strict=True):
-                for r, key, several in Windows(body.as_py()).hashes(ranges):
-                    blob = _pack(np.diff(key, prepend=np.uint64(0)), np.packbits(several))
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([bid], pa.int64()), pa.array([blob], pa.binary())], ["r", "bid", "blob"])
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True):
+            for r, k, several in Windows(body, _copies_in(right)).hashes(ranges):
+                rows.append((r, bid, _pack(np.diff(k, prepend=np.uint64(0)), np.packbits(several))))
+        return _rows(rows, [("r", pa.int64()), ("bid", pa.int64()), ("blob", pa.binary())])
 
     return run
 
 
-_NODE = [("key", pa.int64()), ("content", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("place", pa.int32()), ("lead", pa.bool_())]
-_NODE_SQL = "key long, content long, row long, first int, last int, place int, lead boolean"
+_NODE = [("key", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("place", pa.int32())]
+_NODE_SQL = "key long, row long, first int, last int, place int"
 
 
 def _meetings(ranges: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         flags, tables = _flags(right), [pa.schema(_NODE).empty_table()]
-        copies = np.array([r for kind, r in zip(right["kind"].to_pylist(), right["r"].to_pylist(), strict=True) if kind == COPY], np.int64)
         for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True):
-            own = Windows(body)
+            own = Windows(body, _copies_in(right))
             every = [(k, flags[r]) for r, k, _ in own.hashes(ranges) if r in flags]
             keys = np.concatenate([k[f] for k, f in every]) if every else np.zeros(0, np.uint64)
             at = np.searchsorted(keys, own.key)
             at[at == len(keys)] = 0
             hit = keys[at] == own.key if len(keys) else np.zeros(len(own.key), bool)
-            alone = np.ones(len(own.count), bool)
-            alone[copies] = False
-            both, text, first, last, place, content, lead = own.meetings(hit & alone[own.text])
-            columns = [both.view(np.int64), content.view(np.int64), (bid << IDX_BITS) + text, *(x.astype(np.int32) for x in (first, last, place)), lead]
-            tables.append(pa.table(columns, schema=pa.schema(_NODE)))
+            both, text, first, last, place = own.meetings(hit)
+            tables.append(pa.table([both.view(np.int64), (bid << IDX_BITS) + text, *(x.astype(np.int32) for x in (first, last, place))], schema=pa.schema(_NODE)))
         return pa.concat_tables(tables)
 
     return run
@@ -262,21 +264,28 @@ def _merged(x: list[np.ndarray]) -> list[np.ndarray]:
         x = [a[at], b[at], np.minimum.reduceat(alo, at), np.maximum.reduceat(ahi, at), np.minimum.reduceat(blo, at), np.maximum.reduceat(bhi, at)]
 
 
-_STRETCHES_SQL = "a long, b long, a_lo array<int>, a_hi array<int>, b_lo array<int>, b_hi array<int>"
+_STRETCHES = ("a_lo", "a_hi", "b_lo", "b_hi")
+_STRETCHES_SQL = "a long, b long, a_lo array<int>, a_hi array<int>, b_lo array<int>, b_hi array<int>, keys array<long>, a_places array<int>, b_places array<int>"
 
 
 def _stretches(batches):
-    """Of rows (a, b, a_lo, a_hi, b_lo, b_hi) sorted by (a, b): one row for each pair with its stretches; those that overlap in both documents are one, those at several places of the other document are told apart."""
-    kinds = [pa.int64()] * 2 + [pa.list_(pa.int32())] * 4
+    """Of rows (a, b, a_lo, a_hi, b_lo, b_hi, key, a_place, b_place) sorted by (a, b): one row for each pair with its stretches, and with its keys and their places. Stretches that overlap in both documents are one, those at several places of the other document are told apart."""
     held = None
 
-    def rows(x: list[np.ndarray]) -> pa.RecordBatch:
+    def lists(new: np.ndarray, columns: list[np.ndarray], kinds: list[pa.DataType]) -> list[pa.ListArray]:
+        ends = pa.array(np.append(np.flatnonzero(new), len(new)).astype(np.int32))
+        return [pa.ListArray.from_arrays(ends, pa.array(c, k)) for c, k in zip(columns, kinds, strict=True)]
+
+    def heads(x: list[np.ndarray]) -> np.ndarray:
+        return np.append(True, (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]))
+
+    def rows(cols: list[np.ndarray]) -> pa.RecordBatch:
+        x = cols[:6]
         for order in ((4, 2), (2, 4), (4, 2)):
             x = _merged([c[np.lexsort((x[order[1]], x[order[0]], x[1], x[0]))] for c in x])
-        new = np.append(True, (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]))
-        ends = pa.array(np.append(np.flatnonzero(new), len(new)).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(ends, pa.array(c, pa.int32())) for c in x[2:]]
-        return pa.RecordBatch.from_arrays([pa.array(x[0][new]), pa.array(x[1][new]), *lists], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
+        new, told = heads(x), heads(cols)
+        columns = [pa.array(x[0][new]), pa.array(x[1][new]), *lists(new, x[2:], [pa.int32()] * 4), *lists(told, cols[6:], [pa.int64(), pa.int32(), pa.int32()])]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", *_STRETCHES, "keys", "a_places", "b_places"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -289,8 +298,6 @@ def _stretches(batches):
         held = [c[last:] for c in cols]
         if last:
             yield rows([c[:last] for c in cols])
-        elif len(same) > 100_000:
-            held = _merged(held)
     if held is not None:
         yield rows(held)
 
@@ -423,50 +430,57 @@ def _outer(found: set[tuple[int, int, int, int, float]]) -> list[tuple[int, int,
     return sorted(kept)
 
 
-_FOUND = [("a", pa.int64()), ("b", pa.int64()), ("doc_a", pa.int64()), ("doc_b", pa.int64()), ("a_first", pa.int32()), ("a_last", pa.int32()), ("b_first", pa.int32()), ("b_last", pa.int32()), ("similarity", pa.float64())]
-_FOUND_SQL = "a long, b long, doc_a long, doc_b long, a_first int, a_last int, b_first int, b_last int, similarity double"
+_FOUND = [("a", pa.int64()), ("b", pa.int64()), ("doc_a", pa.int64()), ("doc_b", pa.int64()), *((n, pa.list_(pa.int32())) for n in ("a_first", "a_last", "b_first", "b_last")), ("similarity", pa.list_(pa.float64())), ("failed", pa.list_(pa.int64()))]
+_FOUND_SQL = "a long, b long, doc_a long, doc_b long, a_first array<int>, a_last array<int>, b_first array<int>, b_last array<int>, similarity array<double>, failed array<long>"
 
 
 def _verify(batches):
     for batch in batches:
         rows = []
         a, b, doc_a, doc_b, x_at, y_at = (c.to_pylist() for c in batch.columns[:6])
-        for k, (x, y, *lists) in enumerate(zip(*batch.columns[6:12], strict=True)):
+        for k, (x, y, *lists) in enumerate(zip(*batch.columns[6:], strict=True)):
             u, v, found = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4"), set()
-            for i, j, p, q in zip(*(np.asarray(n.values).tolist() for n in lists), strict=True):
-                i, j, p, q = i - x_at[k], j - x_at[k], p - y_at[k], q - y_at[k]
-                found |= {(i + s, i + t, p + e, p + f, sim) for s, t, e, f, sim in similar_stretches(u[i : j + 1], v[p : q + 1])}
-            rows += [(a[k], b[k], doc_a[k], doc_b[k], s + x_at[k], t + x_at[k], e + y_at[k], f + y_at[k], sim) for s, t, e, f, sim in _outer(found)]
+            alo, ahi, blo, bhi, keys, a_places, b_places = (np.asarray(n.values) for n in lists)
+            for i, j, p, q in zip((alo - x_at[k]).tolist(), (ahi - x_at[k]).tolist(), (blo - y_at[k]).tolist(), (bhi - y_at[k]).tolist(), strict=True):
+                found |= {(i + s, i + t, p + e, p + f, sim) for s, t, e, f, sim in similar_stretches(u[i : j + 1], v[p : q + 1])} if doc_a[k] != doc_b[k] else set()
+            outer = [(s + x_at[k], t + x_at[k], e + y_at[k], f + y_at[k], sim) for s, t, e, f, sim in _outer(found)]
+            inside = np.zeros(len(keys), bool)
+            for s, t, e, f, _ in outer:
+                inside |= (a_places >= s) & (a_places <= t) & (b_places >= e) & (b_places <= f)
+            rows.append((a[k], b[k], doc_a[k], doc_b[k], *(zip(*outer, strict=True) if outer else [[]] * 5), keys[~inside].tolist()))
         if rows:
             yield _rows(rows, _FOUND).to_batches()[0]
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The similar stretches of pairs (a, b, a_lo, a_hi, b_lo, b_hi; arrays) of documents with different ids."""
+    """Pairs of documents with their similar stretches (none of one id) and the keys at whose places there is none."""
 
     def part(side: str, as_name: str) -> list:
         low = F.array_min(f"{side}_lo")
         return [low.alias(f"{as_name}_at"), F.substring("tokens", 4 * low + 1, 4 * (F.array_max(f"{side}_hi") - low + 1)).alias(as_name)]
 
+    rest = (*_STRETCHES, "keys", "a_places", "b_places")
     told = pairs.join(tokens.select(F.col("row").alias("a"), F.col("doc").alias("doc_a"), "tokens"), "a").select(*pairs.columns, "doc_a", *part("a", "x"))
-    told = told.join(tokens.select(F.col("row").alias("b"), F.col("doc").alias("doc_b"), "tokens"), "b").where("doc_a <> doc_b").select("a", "b", "doc_a", "doc_b", "x_at", *part("b", "y"), "x", "a_lo", "a_hi", "b_lo", "b_hi")
-    return told.select("a", "b", "doc_a", "doc_b", "x_at", "y_at", "x", "y", "a_lo", "a_hi", "b_lo", "b_hi").mapInArrow(_verify, _FOUND_SQL)
+    told = told.join(tokens.select(F.col("row").alias("b"), F.col("doc").alias("doc_b"), "tokens"), "b").select("a", "b", "doc_a", "doc_b", "x_at", *part("b", "y"), "x", *rest)
+    return told.select("a", "b", "doc_a", "doc_b", "x_at", "y_at", "x", "y", *rest).mapInArrow(_verify, _FOUND_SQL)
 
 
-def _paired(one: str, other: str) -> list:
-    """Columns a, b and their stretches of rows with two nodes, the larger number first. one, other: prefixes of the nodes' columns."""
-    swap = F.col(f"{one}row") < F.col(f"{other}row")
-    sides = [(F.when(swap, F.col(y + c)).otherwise(F.col(x + c))) for x, y in ((one, other), (other, one)) for c in ("row", "first", "last")]
-    return [sides[k].alias(n) for k, n in ((0, "a"), (3, "b"), (1, "a_lo"), (2, "a_hi"), (4, "b_lo"), (5, "b_hi"))]
+def _by_pair(pairs: DataFrame) -> DataFrame:
+    return pairs.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(_stretches, _STRETCHES_SQL)
 
 
-def _by_pair(pairs: DataFrame) -> DataFrame:
-    return pairs.repartition("a", "b").sortWithinPartitions("a", "b", "a_lo").mapInArrow(_stretches, _STRETCHES_SQL)
+def _star(nodes: DataFrame) -> DataFrame:
+    """Pairs of each node with its key's node of the smallest row, which is b."""
+    low = cut(nodes.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("key", "low"))
+    near = stored(nodes.join(low, "key"), "star")
+    first = near.where("row = low").select("key", F.col("row").alias("b"), F.col("first").alias("b_lo"), F.col("last").alias("b_hi"), F.col("place").alias("b_place"))
+    rest = near.where("row > low").select("key", F.col("row").alias("a"), F.col("first").alias("a_lo"), F.col("last").alias("a_hi"), F.col("place").alias("a_place"))
+    return rest.join(first, "key").select("a", "b", *_STRETCHES, "key", "a_place", "b_place")
 
 
 def _overlaps(batches):
     """Of rows (key, lo, hi, part, label, open, row, first, last, near) sorted by key, lo and hi: pairs of rows of a run of equal (key, lo, hi) that differ in their label or of which one is open, and that have of the tokens about their places DENSE in common (where near is given)."""
-    held, names = None, ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"]
+    held, names = None, ["a", "b", *_STRETCHES, "key", "a_place", "b_place"]
 
     def pairs(cols):
         _, lo, hi, part, label, open_, row, first, last, near = cols
@@ -496,7 +510,7 @@ def _overlaps(batches):
         x, y = np.where(swap, j, i), np.where(swap, i, j)
         for k in range(0, len(i), 1 << 16):
             u, v = x[k : k + (1 << 16)], y[k : k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row[u], row[v], first[u], last[u], first[v], last[v])], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row[u], row[v], first[u], last[u], first[v], last[v], np.zeros(len(u), np.int64), first[u], first[v])], names)
 
     def runs(cols):
         new = np.ones(len(cols[0]), bool)
@@ -525,7 +539,7 @@ def _met(nodes: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     parted = nodes.join(sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key")
     parted = parted.withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("parts").cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = parted.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "label", "open", "row", "first", "last", "near")
-    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int")
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int, key long, a_place int, b_place int")
 
 
 def _rare_keys(nodes: DataFrame) -> DataFrame:
@@ -560,14 +574,11 @@ def copies(packed: DataFrame) -> DataFrame:
     return stored(heads.join(least, "digest").where("row <> least.row").select("row", "doc", "n", F.col("least.row").alias("first"), F.col("least.doc").alias("first_doc")), "copies")
 
 
-def _labelled(nodes: DataFrame, found: list[DataFrame]) -> DataFrame:
-    """Nodes (key, row, first, last, place) with label, the class of their document by the links found, and open: whether their place lies in no stretch that was found."""
-    ends = _all([f.select("a", "b", "a_first", "a_last", "b_first", "b_last") for f in found])
-    roots = cut(components(ends.select("a", "b").distinct())).select(F.col("node").alias("row"), F.col("root").alias("label"))
-    sides = [ends.select(F.col(x).alias("row"), F.explode(F.sequence(F.ceil(F.col(f"{x}_first") / CELL).cast("int"), F.floor((F.col(f"{x}_last") + 1) / CELL).cast("int") - 1)).alias("cell")) for x in "ab"]
-    cells = cut(sides[0].unionByName(sides[1]).distinct().withColumn("open", F.lit(False)))
-    told = nodes.withColumn("cell", F.floor(F.col("place") / CELL).cast("int")).join(cells, ["row", "cell"], "left").drop("cell").join(roots, "row", "left")
-    return told.withColumn("label", F.coalesce("label", "row")).withColumn("open", F.coalesce("open", F.lit(True)))
+def _cells(found: list[DataFrame]) -> DataFrame:
+    """(row, cell) of the cells that lie whole in a stretch that was found."""
+    sides = [f.select(F.col(x).alias("row"), F.explode(F.arrays_zip(F.col(f"{x}_first").alias("low"), F.col(f"{x}_last").alias("high"))).alias("s")) for f in found for x in "ab"]
+    low, high = F.ceil(F.col("s.low") / CELL).cast("int"), F.floor((F.col("s.high") + 1) / CELL).cast("int") - 1
+    return _all([x.where(low <= high).select("row", F.explode(F.sequence(low, high)).alias("cell")) for x in sides]).distinct()
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -580,31 +591,27 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
     bodies = packed.select("bid", "body")
-    flags = cut(bodies.mapInArrow(_send(ranges), "r long, bid long, blob binary").groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL))
     same = copies(packed)
-    told = flags.unionByName(same.select(F.shiftright("row", IDX_BITS).alias("bid"), F.lit(COPY).alias("kind"), F.pmod("row", F.lit(1 << IDX_BITS)).alias("r"), F.lit(None).cast("binary").alias("blob")))
+    marks = same.select(F.shiftright("row", IDX_BITS).alias("bid"), F.lit(COPY).alias("kind"), F.pmod("row", F.lit(1 << IDX_BITS)).alias("r"), F.lit(None).cast("binary").alias("blob"))
+    sent = bodies.groupBy("bid").cogroup(marks.groupBy("bid")).applyInArrow(_send(ranges), "r long, bid long, blob binary")
+    told = cut(sent.groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL)).unionByName(marks)
     nodes = stored(bodies.groupBy("bid").cogroup(told.groupBy("bid")).applyInArrow(_meetings(ranges), _NODE_SQL), "nodes")
-    # equal stretches are a class: its members meet its first
-    leads = nodes.where("lead").select("content", "row", "first", "last")
-    classes = cut(leads.groupBy("content").agg(F.min(F.struct("row", "first", "last")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select("content", "h"))
-    members = leads.join(classes, "content").where("row <> h.row").select(*_paired("", "h."))
-    # the classes of a key meet its first, those that aren't linked with it at its place the first of these, and so on
-    one = F.struct("row", "first", "last", "place")
-    open_ = stored(nodes.groupBy("key", "content").agg(F.min(one).alias("h")).select("key", "h.*"), "heads")
-    tokens, found = None, []
+    # the nodes of a key meet its first, those in no stretch that was found the first of these
+    pairs = stored(_by_pair(_star(nodes)), "pairs")
+    wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+    tokens = stored(bodies.groupBy("bid").cogroup(wanted.groupBy(F.shiftright("row", IDX_BITS))).applyInArrow(_tokens_of, "row long, doc long, tokens binary"), "tokens")
+    found = [stored(_verified(pairs, tokens), "found")]
+    failed = cut(found[0].select(F.col("a").alias("row"), F.explode("failed").alias("key")))
+    # all nodes of the keys of those that failed
+    nodes = stored(nodes.join(failed.select("key").distinct(), "key", "left_semi").withColumn("cell", F.floor(F.col("place") / CELL).cast("int")), "nodes")
     for turn in range(ROUNDS):
-        reps = cut(open_.groupBy("key").agg(F.min(one).alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-        star = stored(open_.join(reps.drop("n"), "key"), "star")
-        pairs = star.where("row <> rep.row").select(*_paired("", "rep."))
-        pairs = stored(_by_pair(pairs if turn else pairs.unionByName(members)), "pairs")
-        if not turn:
-            wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-            tokens = stored(bodies.groupBy("bid").cogroup(wanted.groupBy(F.shiftright("row", IDX_BITS))).applyInArrow(_tokens_of, "row long, doc long, tokens binary"), "tokens")
-            every = star.drop("rep")
-        found.append(stored(_verified(pairs, tokens), "found"))
-        held = stored(_labelled(every, found), "held")
-        open_ = held.where("open").drop("label", "open")
-    # those of a key whose classes differ all meet, and in small keys also those of a class that lie in no stretch yet
+        open_ = stored(nodes.join(failed, ["key", "row"], "left_semi").join(_cells(found), ["row", "cell"], "left_anti"), "open")
+        if turn < ROUNDS - 1:
+            found.append(stored(_verified(stored(_by_pair(_star(open_.drop("cell"))), "pairs"), tokens), "found"))
+    # nodes of a key whose documents aren't linked yet all meet, and in small keys also those in no stretch yet
+    roots = cut(components(_all([f.where(F.size("a_first") > 0).select("a", "b") for f in found]))).select(F.col("node").alias("row"), F.col("root").alias("label"))
+    held = nodes.drop("cell").join(roots, "row", "left").join(open_.select("key", "row", F.lit(True).alias("open")), ["key", "row"], "left")
+    held = stored(held.withColumn("label", F.coalesce("label", "row")).withColumn("open", F.coalesce("open", F.lit(False))), "held")
     left = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("open").alias("open"), F.count(F.lit(1)).alias("n")).where((F.col("low") < F.col("high")) | F.col("open") & (F.col("n") <= few))
     left = cut(left.select("key", "n"))
     apart = stored(held.join(left, "key").withColumn("open", F.col("open") & (F.col("n") <= few)), "apart")
@@ -614,7 +621,9 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     rare = stored(_rare_keys(near.where(F.col("n") > block).drop("n")), "rare")
     met = met.unionByName(_met(rare, rare.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), block))
     later = stored(_by_pair(met), "later")
-    found = stored(_all([*found, _verified(later, tokens)]).dropDuplicates(["a", "b", "a_first", "a_last", "b_first", "b_last"]), "stretches")
+    spots = F.explode(F.arrays_zip("a_first", "a_last", "b_first", "b_last", "similarity")).alias("s")
+    found = _all([f.select("a", "b", "doc_a", "doc_b", spots) for f in [*found, _verified(later, tokens)]]).select("a", "b", "doc_a", "doc_b", "s.*")
+    found = stored(found.dropDuplicates(["a", "b", "a_first", "a_last", "b_first", "b_last"]), "stretches")
     # classes of documents
     links = found.select("doc_a", "doc_b").unionByName(same.select(F.col("doc").alias("doc_a"), F.col("first_doc").alias("doc_b"))).where("doc_a <> doc_b").distinct()
     roots = cut(components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))))
