@@ -204,23 +204,25 @@ def read_records(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple
 
 
 def _responses(batches):
-    """Of pages (page_id, url, html): their numbers, digests and records as responses, some bytes at a time."""
-    from pyspark import TaskContext
+    """Of pages (page_id, url, html): their digests and records as responses, some bytes at a time."""
+    kinds = (pa.int64(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.binary())
+    names = ["page_id", "url", "same", "sha1", "n", "member"]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    at, kinds = TaskContext.get().partitionId() << 40, (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.binary())
-    names = ["row", "page_id", "url", "same", "sha1", "n", "member"]
     for batch in batches:
         rows, size = [], 0
         for page_id, url, html in zip(*batch.columns, strict=True):
             page_id, url = page_id.as_py(), url.as_py()
             payload = html.as_buffer().to_pybytes() if html.is_valid else b""
-            rows.append((at, page_id, url, hashlib.sha256(payload).digest(), digest(payload), len(payload), member(page_id, url, payload, None)))
-            at, size = at + 1, size + len(rows[-1][-1])
+            rows.append((page_id, url, hashlib.sha256(payload).digest(), digest(payload), len(payload), member(page_id, url, payload, None)))
+            size += len(rows[-1][-1])
             if size > BATCH_BYTES:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                yield out(rows)
                 rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            yield out(rows)
 
 
 def _write(most: int):
@@ -249,14 +251,16 @@ def _write(most: int):
 def archives(pages: DataFrame) -> DataFrame:
     """Rows (name, content) of archives: of pages with equal payloads the one with the smallest id is a response, the others refer to it.
 
-    Records are compressed where their pages are read. Ids and digests alone find each payload's first page, also where very many pages have one payload; records then meet their targets by their own number, so each goes through one shuffle, compressed, and none through a group.
+    Records are compressed where their pages are read. Ids and digests alone find each payload's first page; records then meet their targets by id and digest, so each goes through one shuffle, compressed, and the many pages of one payload through no common task.
     """
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.col("html").cast("string"), "UTF-8").alias("html"))
-    made = stored(own.mapInArrow(_responses, "row long, page_id long, url string, same binary, sha1 string, n long, member binary"), "records")
-    ids = made.where(F.col("n") >= REVISIT_BYTES).select("row", "page_id", "same")
+    payload = F.coalesce("html", F.lit(b""))
+    ids = own.where(F.length(payload) >= REVISIT_BYTES).select("page_id", F.unhex(F.sha2(payload, 256)).alias("same"))
     first = cut(ids.groupBy("same").agg(F.min("page_id").alias("target"), F.count(F.lit(1)).alias("times")).where("times > 1").select("same", "target"))
-    targets = cut(ids.join(first, "same").where("page_id > target").select("row", "target"))
-    told = made.join(targets, "row", "left").select("page_id", "url", "sha1", "n", "target", F.when(F.col("target").isNull(), F.col("member")).alias("member"))
+    # one row for each id and payload, so that pages of one payload are spread by their ids
+    targets = cut(ids.join(first, "same").where("page_id > target").distinct())
+    made = own.mapInArrow(_responses, "page_id long, url string, same binary, sha1 string, n long, member binary")
+    told = made.join(targets, ["page_id", "same"], "left").select("page_id", "url", "sha1", "n", "target", F.when(F.col("target").isNull(), F.col("member")).alias("member"))
     return told.mapInArrow(_write(ARCHIVE_BYTES), "name string, content binary")
 
 
