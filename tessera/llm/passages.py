@@ -2,13 +2,13 @@
 
 A document's tokens are the shingles of five words. Under a hash function, all subsequences whose smallest token is at c form one compact window (l, c, r): they start in l..c and end in c..r. The windows are the nodes of the Cartesian tree over the token hashes; those that hold a subsequence of MIN_WORDS words are found for all documents of a block at once, by sliding minima and a descent over doubled spans to the nearest smaller token on each side. Two documents that share a passage share its smallest token, so windows meet by that token.
 
-1. Documents are packed into compressed blocks (as for exact dedup). Of documents with the same words one stands for all, and the others are linked with it. Each block sends its windows' token hashes and hears which of them another document has too.
+1. Documents are packed into compressed blocks (as for exact dedup). Of documents with the same text one stands for all, and the others are linked with it. Each block sends its windows' token hashes and hears which of them another document has too.
 2. Windows that are left and overlap in their document are taken together: their smallest tokens under two functions are a node's key, what they have in common is its stretch. So nodes meet only where ENOUGH functions agree, and a popular shingle alone joins nothing.
-3. The nodes of a key meet its first, and those in no stretch that was found the first of these.
-4. Then nodes of a key whose documents aren't linked yet all meet, and in keys of FEW nodes also those that lie in no stretch yet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond a block are parted by rare tokens that similar stretches must share.
+3. The nodes of a key meet its first.
+4. Where that found no stretch at a node's place, all nodes of the key whose documents aren't linked yet meet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond a block are parted by rare tokens that similar stretches must share.
 5. Stretches that meet are verified on the shingles themselves: shared shingles are chained over all their places in the other text, by the diagonals that most of them share, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
-So documents that share a passage word for word are always of one class, as such a passage has its smallest tokens under every function, and of those of similarity s enough of HASHES functions agree with chance 0.993 at s = 0.8. Inside a class copies aren't expanded into all pairs: of a passage that over FEW different texts of a class have, each text is held against the first ones.
+So two documents that share a passage word for word are always of one class, as such a passage has its smallest tokens under every function, and of those of similarity s enough of HASHES functions agree with chance 0.993 at s = 0.8. Inside a class, copies aren't expanded into all pairs: its documents are held against the first ones of their keys.
 
 Defined cases: a null, empty or short text has no windows; rows without an id aren't compared; rows of one id are texts of their own, which aren't held against each other; an empty table gives an empty result. Words are taken in lower case (A-Z) between ASCII white space. Other columns are ignored.
 """
@@ -33,10 +33,8 @@ TOKENS = MIN_WORDS - SHINGLE + 1
 DENSE = 30
 #: Tokens of a text that vote on a diagonal together.
 NEAR = 256
-#: Nodes of a key that meet directly, nodes that one block of a key holds, tokens on either side of a node's place that are held against others', and how often the nodes of a key meet the first of those that are left.
-FEW, BLOCK, REACH, ROUNDS = 32, 512, 52, 2
-#: Tokens of a cell, by which places are looked up in stretches.
-CELL = 8
+#: Nodes of a key that meet directly, nodes that one block of a key holds, and tokens on either side of a node's place that are held against others'.
+FEW, BLOCK, REACH = 4, 512, 52
 #: Kind of the messages that name a block's copies.
 COPY = 2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -479,14 +477,14 @@ def _star(nodes: DataFrame) -> DataFrame:
 
 
 def _overlaps(batches):
-    """Of rows (key, lo, hi, part, label, open, row, first, last, near) sorted by key, lo and hi: pairs of rows of a run of equal (key, lo, hi) that differ in their label or of which one is open, and that have of the tokens about their places DENSE in common (where near is given)."""
+    """Of rows (key, lo, hi, part, label, row, first, last, near) sorted by key, lo and hi: pairs of rows of a run of equal (key, lo, hi) that differ in their label and have of the tokens about their places DENSE in common (where near is given)."""
     held, names = None, ["a", "b", *_STRETCHES, "key", "a_place", "b_place"]
 
     def pairs(cols):
-        _, lo, hi, part, label, open_, row, first, last, near = cols
+        _, lo, hi, part, label, row, first, last, near = cols
         n = len(row)
         i, j = np.triu_indices(n, 1)
-        ok = (row[i] != row[j]) & ((label[i] != label[j]) | open_[i] | open_[j])
+        ok = label[i] != label[j]
         if lo[0] != hi[0]:
             ok &= part[i] != part[j]
         i, j = i[ok], j[ok]
@@ -535,10 +533,10 @@ def _overlaps(batches):
 
 
 def _met(nodes: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
-    """Pairs (a, b and their stretches) of nodes (key, row, first, last, label, open, near) of a key that differ in their label or of which one is open. sizes: (key, n). A key of many nodes is dealt into blocks; each pair of blocks is work of its own."""
+    """Pairs (a, b and their stretches) of nodes (key, row, first, last, label, near) of a key that differ in their label. sizes: (key, n). A key of many nodes is dealt into blocks; each pair of blocks is work of its own."""
     parted = nodes.join(sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key")
     parted = parted.withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("parts").cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = parted.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "label", "open", "row", "first", "last", "near")
+    dealt = parted.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "label", "row", "first", "last", "near")
     return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int, key long, a_place int, b_place int")
 
 
@@ -558,7 +556,7 @@ def _rare_keys(nodes: DataFrame) -> DataFrame:
     shared = cut(tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     ranked = tokens.join(shared, ["key", "token"]).groupBy("key", "node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t")).where(F.size("t") >= DENSE)
     rare = ranked.withColumn("t", F.explode(F.slice("t", F.lit(1), F.size("t") - DENSE + 1))).select("key", "node", "t.token")
-    return rare.join(told, ["key", "node"]).select(F.xxhash64("key", "token").alias("key"), "row", "first", "last", "label", "open", "near")
+    return rare.join(told, ["key", "node"]).select(F.xxhash64("key", "token").alias("key"), "row", "first", "last", "label", "near")
 
 
 def _near(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -568,19 +566,12 @@ def _near(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def copies(packed: DataFrame) -> DataFrame:
-    """row, doc, n (words) of every document that has the words of one before it, with row and doc of that (first, first_doc)."""
+    """row, doc, n (words) of every document that has the text of another (A-Z in lower case), with row and doc of that (first, first_doc)."""
     heads = packed.select("bid", F.explode("heads").alias("h")).select((F.shiftleft("bid", IDX_BITS) + F.col("h.idx")).alias("row"), "h.doc", "h.n", "h.digest")
     least = cut(heads.groupBy("digest").agg(F.min(F.struct("row", "doc")).alias("least"), F.count(F.lit(1)).alias("times")).where("times > 1"))
     return stored(heads.join(least, "digest").where("row <> least.row").select("row", "doc", "n", F.col("least.row").alias("first"), F.col("least.doc").alias("first_doc")), "copies")
 
 
-def _cells(found: list[DataFrame]) -> DataFrame:
-    """(row, cell) of the cells that lie whole in a stretch that was found."""
-    sides = [f.select(F.col(x).alias("row"), F.explode(F.arrays_zip(F.col(f"{x}_first").alias("low"), F.col(f"{x}_last").alias("high"))).alias("s")) for f in found for x in "ab"]
-    low, high = F.ceil(F.col("s.low") / CELL).cast("int"), F.floor((F.col("s.high") + 1) / CELL).cast("int") - 1
-    return _all([x.where(low <= high).select("row", F.explode(F.sequence(low, high)).alias("cell")) for x in sides]).distinct()
-
-
 def _all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -596,25 +587,18 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     sent = bodies.groupBy("bid").cogroup(marks.groupBy("bid")).applyInArrow(_send(ranges), "r long, bid long, blob binary")
     told = cut(sent.groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL)).unionByName(marks)
     nodes = stored(bodies.groupBy("bid").cogroup(told.groupBy("bid")).applyInArrow(_meetings(ranges), _NODE_SQL), "nodes")
-    # the nodes of a key meet its first, those in no stretch that was found the first of these
+    # the nodes of a key meet its first
     pairs = stored(_by_pair(_star(nodes)), "pairs")
     wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
     tokens = stored(bodies.groupBy("bid").cogroup(wanted.groupBy(F.shiftright("row", IDX_BITS))).applyInArrow(_tokens_of, "row long, doc long, tokens binary"), "tokens")
-    found = [stored(_verified(pairs, tokens), "found")]
-    failed = cut(found[0].select(F.col("a").alias("row"), F.explode("failed").alias("key")))
-    # all nodes of the keys of those that failed
-    nodes = stored(nodes.join(failed.select("key").distinct(), "key", "left_semi").withColumn("cell", F.floor(F.col("place") / CELL).cast("int")), "nodes")
-    for turn in range(ROUNDS):
-        open_ = stored(nodes.join(failed, ["key", "row"], "left_semi").join(_cells(found), ["row", "cell"], "left_anti"), "open")
-        if turn < ROUNDS - 1:
-            found.append(stored(_verified(stored(_by_pair(_star(open_.drop("cell"))), "pairs"), tokens), "found"))
-    # nodes of a key whose documents aren't linked yet all meet, and in small keys also those in no stretch yet
-    roots = cut(components(_all([f.where(F.size("a_first") > 0).select("a", "b") for f in found]))).select(F.col("node").alias("row"), F.col("root").alias("label"))
-    held = nodes.drop("cell").join(roots, "row", "left").join(open_.select("key", "row", F.lit(True).alias("open")), ["key", "row"], "left")
-    held = stored(held.withColumn("label", F.coalesce("label", "row")).withColumn("open", F.coalesce("open", F.lit(False))), "held")
-    left = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("open").alias("open"), F.count(F.lit(1)).alias("n")).where((F.col("low") < F.col("high")) | F.col("open") & (F.col("n") <= few))
+    found = stored(_verified(pairs, tokens), "found")
+    # nodes of the keys of those that failed, with the class of their document by the links found: where classes differ they all meet
+    failed = cut(found.select(F.explode("failed").alias("key")).distinct())
+    roots = cut(components(found.where(F.size("a_first") > 0).select("a", "b"))).select(F.col("node").alias("row"), F.col("root").alias("label"))
+    held = stored(nodes.join(failed, "key").join(roots, "row", "left").withColumn("label", F.coalesce("label", "row")), "held")
+    left = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
     left = cut(left.select("key", "n"))
-    apart = stored(held.join(left, "key").withColumn("open", F.col("open") & (F.col("n") <= few)), "apart")
+    apart = held.join(left, "key")
     met = _met(apart.where(F.col("n") <= few).drop("n").withColumn("near", F.lit(None).cast("binary")), left.where(F.col("n") <= few), block)
     near = stored(_near(apart.where(F.col("n") > few), tokens), "near")
     met = met.unionByName(_met(near.where(F.col("n") <= block).drop("n"), left.where(F.col("n").between(few + 1, block)), block))
@@ -622,7 +606,7 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     met = met.unionByName(_met(rare, rare.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), block))
     later = stored(_by_pair(met), "later")
     spots = F.explode(F.arrays_zip("a_first", "a_last", "b_first", "b_last", "similarity")).alias("s")
-    found = _all([f.select("a", "b", "doc_a", "doc_b", spots) for f in [*found, _verified(later, tokens)]]).select("a", "b", "doc_a", "doc_b", "s.*")
+    found = _all([f.select("a", "b", "doc_a", "doc_b", spots) for f in (found, _verified(later, tokens))]).select("a", "b", "doc_a", "doc_b", "s.*")
     found = stored(found.dropDuplicates(["a", "b", "a_first", "a_last", "b_first", "b_last"]), "stretches")
     # classes of documents
     links = found.select("doc_a", "doc_b").unionByName(same.select(F.col("doc").alias("doc_a"), F.col("first_doc").alias("doc_b"))).where("doc_a <> doc_b").distinct()

@@ -34,6 +34,7 @@ IDX_BITS = 19
 #: Windows whose hashes are held at once.
 CHUNK = 1 << 18
 _LAST = np.iinfo(np.int64).max
+_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
 def _pack(*arrays: np.ndarray | bytes) -> bytes:
@@ -68,22 +69,30 @@ def _unpack(blob: bytes) -> list:
 
 
 def blocks(docs: DataFrame, words: int = 0) -> DataFrame:
-    """Rows (bid, n_bytes, body) of packed documents: ids, null flags, sizes and texts. words: also heads, of each document with so many words and an id its place in the block, doc_id, number of words and a digest of the words (A-Z in lower case)."""
+    """Rows (bid, n_bytes, body) of packed documents: ids, null flags, sizes and texts. words: also heads, of each document with so many words and an id its place in the block, doc_id, number of words and a digest of the text (A-Z in lower case)."""
     fields = [("bid", pa.int64()), ("n_bytes", pa.int64()), ("body", pa.binary())]
     sql = "bid long, n_bytes long, body binary"
     if words:
         fields.append(("heads", pa.list_(pa.struct([("idx", pa.int32()), ("doc", pa.int64()), ("n", pa.int32()), ("digest", pa.binary())]))))
         sql += ", heads array<struct<idx int, doc long, n int, digest binary>>"
 
-    def head(k: int, i: int | None, text: bytes) -> list[tuple]:
-        own = text.lower().split() if i is not None else []
-        return [(k, i, len(own), hashlib.blake2b(b" ".join(own), digest_size=16).digest())] if len(own) >= words else []
+    def heads(ids: list, texts: list[bytes]) -> list[tuple]:
+        gap = np.append(_SPACE[np.frombuffer(b"".join(texts), np.uint8)], True)
+        starts = np.append(0, np.cumsum([len(t) for t in texts]))
+        begins = ~gap
+        begins[1:] &= gap[:-1]
+        # a word that begins a text may follow another's last at once
+        heads = np.minimum(starts[:-1], len(gap) - 1)
+        begins[heads] = ~gap[heads]
+        total = np.append(0, np.cumsum(begins))
+        n = (total[starts[1:]] - total[starts[:-1]]).tolist()
+        return [(k, i, n[k], hashlib.blake2b(t.lower(), digest_size=16).digest()) for k, (i, t) in enumerate(zip(ids, texts, strict=True)) if i is not None and n[k] >= words]
 
     def row(pid: int, seq: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
         body = _pack(np.array([_LAST if i is None else i for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), np.array([len(t) for t in texts], np.int64), b"".join(texts))
         values = [pid << 24 | seq, sum(map(len, texts)), body]
         if words:
-            values.append([h for k, (i, t) in enumerate(zip(ids, texts, strict=True)) for h in head(k, i, t)])
+            values.append(heads(ids, texts))
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(values, fields, strict=True)], [n for n, _ in fields])
 
     def run(batches):

@@ -435,7 +435,7 @@ def classes_of(pairs):
     return {x: find(x) for x in root}
 
 
-@pytest.mark.parametrize("few, block", [(32, 512), (2, 512), (2, 4)])
+@pytest.mark.parametrize("few, block", [(50, 512), (2, 512), (2, 4)])
 def test_passages_against_all_pairs(spark, few, block):
     """Equal passages are all found and similar ones as often as chance says, in whichever way the nodes of a key meet; classes are those of all pairs."""
     rng = random.Random(3)
