@@ -4,22 +4,33 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.session import cut, shared_folder
 
-__all__ = ["cut", "free_name", "keyed_texts", "stored"]
+__all__ = ["cut", "forget", "free_name", "keyed_texts", "stored"]
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written as compressed Parquet in the shared folder and read again; for tables as large as the input, which a checkpoint would keep uncompressed."""
+
+def stored(df: DataFrame, name: str, paths: dict[str, str] | None = None) -> DataFrame:
+    """The rows, written as compressed Parquet in the shared folder and read again; for tables as large as the input, which a checkpoint would keep uncompressed. paths: takes note of the folder, for forget()."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if paths is not None:
+        paths[name] = path
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, paths: dict[str, str], *names: str) -> None:
+    """Delete stored tables that nothing reads any more, and let go of the shuffles that made stored ones."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop(name))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """A column name that df has not (names are compared as Spark does, without case)."""
     taken = {c.lower() for c in df.columns}

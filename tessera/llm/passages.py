@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, stored
+from tessera.llm.common import cut, forget, stored
 from tessera.llm.components import components
 from tessera.llm.registry import query
 from tessera.llm.suffixes import _MESSAGE_SQL, IDX_BITS, RANGE_BYTES, _answer_hashes, _flags, _pack, _rows, _unpack, blocks, by_range, distinct
@@ -263,11 +263,11 @@ def _merged(x: list[np.ndarray]) -> list[np.ndarray]:
 
 
 _STRETCHES = ("a_lo", "a_hi", "b_lo", "b_hi")
-_STRETCHES_SQL = "a long, b long, a_lo array<int>, a_hi array<int>, b_lo array<int>, b_hi array<int>, keys array<long>, a_places array<int>, b_places array<int>"
+_STRETCHES_SQL = "a long, b long, a_lo array<int>, a_hi array<int>, b_lo array<int>, b_hi array<int>, keys array<long>"
 
 
 def _stretches(batches):
-    """Of rows (a, b, a_lo, a_hi, b_lo, b_hi, key, a_place, b_place) sorted by (a, b): one row for each pair with its stretches, and with its keys and their places. Stretches that overlap in both documents are one, those at several places of the other document are told apart."""
+    """Of rows (a, b, a_lo, a_hi, b_lo, b_hi, key) sorted by (a, b): one row for each pair with its stretches and its keys. Stretches that overlap in both documents are one, those at several places of the other document are told apart."""
     held = None
 
     def lists(new: np.ndarray, columns: list[np.ndarray], kinds: list[pa.DataType]) -> list[pa.ListArray]:
@@ -282,8 +282,8 @@ def _stretches(batches):
         for order in ((4, 2), (2, 4), (4, 2)):
             x = _merged([c[np.lexsort((x[order[1]], x[order[0]], x[1], x[0]))] for c in x])
         new, told = heads(x), heads(cols)
-        columns = [pa.array(x[0][new]), pa.array(x[1][new]), *lists(new, x[2:], [pa.int32()] * 4), *lists(told, cols[6:], [pa.int64(), pa.int32(), pa.int32()])]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", *_STRETCHES, "keys", "a_places", "b_places"])
+        columns = [pa.array(x[0][new]), pa.array(x[1][new]), *lists(new, x[2:], [pa.int32()] * 4), *lists(told, cols[6:], [pa.int64()])]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", *_STRETCHES, "keys"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -438,26 +438,23 @@ def _verify(batches):
         a, b, doc_a, doc_b, x_at, y_at = (c.to_pylist() for c in batch.columns[:6])
         for k, (x, y, *lists) in enumerate(zip(*batch.columns[6:], strict=True)):
             u, v, found = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4"), set()
-            alo, ahi, blo, bhi, keys, a_places, b_places = (np.asarray(n.values) for n in lists)
+            alo, ahi, blo, bhi, keys = (np.asarray(n.values) for n in lists)
             for i, j, p, q in zip((alo - x_at[k]).tolist(), (ahi - x_at[k]).tolist(), (blo - y_at[k]).tolist(), (bhi - y_at[k]).tolist(), strict=True):
                 found |= {(i + s, i + t, p + e, p + f, sim) for s, t, e, f, sim in similar_stretches(u[i : j + 1], v[p : q + 1])} if doc_a[k] != doc_b[k] else set()
             outer = [(s + x_at[k], t + x_at[k], e + y_at[k], f + y_at[k], sim) for s, t, e, f, sim in _outer(found)]
-            inside = np.zeros(len(keys), bool)
-            for s, t, e, f, _ in outer:
-                inside |= (a_places >= s) & (a_places <= t) & (b_places >= e) & (b_places <= f)
-            rows.append((a[k], b[k], doc_a[k], doc_b[k], *(zip(*outer, strict=True) if outer else [[]] * 5), keys[~inside].tolist()))
+            rows.append((a[k], b[k], doc_a[k], doc_b[k], *(zip(*outer, strict=True) if outer else [[]] * 5), [] if outer else keys.tolist()))
         if rows:
             yield _rows(rows, _FOUND).to_batches()[0]
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Pairs of documents with their similar stretches (none of one id) and the keys at whose places there is none."""
+    """Pairs of documents with their similar stretches (none of one id) or, if there is none, their keys."""
 
     def part(side: str, as_name: str) -> list:
         low = F.array_min(f"{side}_lo")
         return [low.alias(f"{as_name}_at"), F.substring("tokens", 4 * low + 1, 4 * (F.array_max(f"{side}_hi") - low + 1)).alias(as_name)]
 
-    rest = (*_STRETCHES, "keys", "a_places", "b_places")
+    rest = (*_STRETCHES, "keys")
     told = pairs.join(tokens.select(F.col("row").alias("a"), F.col("doc").alias("doc_a"), "tokens"), "a").select(*pairs.columns, "doc_a", *part("a", "x"))
     told = told.join(tokens.select(F.col("row").alias("b"), F.col("doc").alias("doc_b"), "tokens"), "b").select("a", "b", "doc_a", "doc_b", "x_at", *part("b", "y"), "x", *rest)
     return told.select("a", "b", "doc_a", "doc_b", "x_at", "y_at", "x", "y", *rest).mapInArrow(_verify, _FOUND_SQL)
@@ -467,18 +464,19 @@ def _by_pair(pairs: DataFrame) -> DataFrame:
     return pairs.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(_stretches, _STRETCHES_SQL)
 
 
-def _star(nodes: DataFrame) -> DataFrame:
+def _star(nodes: DataFrame, paths: dict[str, str]) -> DataFrame:
     """Pairs of each node with its key's node of the smallest row, which is b."""
-    low = cut(nodes.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("key", "low"))
-    near = stored(nodes.join(low, "key"), "star")
-    first = near.where("row = low").select("key", F.col("row").alias("b"), F.col("first").alias("b_lo"), F.col("last").alias("b_hi"), F.col("place").alias("b_place"))
-    rest = near.where("row > low").select("key", F.col("row").alias("a"), F.col("first").alias("a_lo"), F.col("last").alias("a_hi"), F.col("place").alias("a_place"))
-    return rest.join(first, "key").select("a", "b", *_STRETCHES, "key", "a_place", "b_place")
+    low = stored(nodes.groupBy("key").agg(F.min("row").alias("b"), F.max("row").alias("high")).where("b < high").select("key", "b"), "low", paths)
+    forget(nodes.sparkSession, paths)
+    first = nodes.join(low, "key").where("row = b").select("key", "b", F.col("first").alias("b_lo"), F.col("last").alias("b_hi"))
+    first = stored(first, "first", paths)
+    forget(nodes.sparkSession, paths, "low")
+    return nodes.join(first, "key").where("row > b").select(F.col("row").alias("a"), "b", F.col("first").alias("a_lo"), F.col("last").alias("a_hi"), "b_lo", "b_hi", "key")
 
 
 def _overlaps(batches):
     """Of rows (key, lo, hi, part, label, row, first, last, near) sorted by key, lo and hi: pairs of rows of a run of equal (key, lo, hi) that differ in their label and have of the tokens about their places DENSE in common (where near is given)."""
-    held, names = None, ["a", "b", *_STRETCHES, "key", "a_place", "b_place"]
+    held, names = None, ["a", "b", *_STRETCHES, "key"]
 
     def pairs(cols):
         _, lo, hi, part, label, row, first, last, near = cols
@@ -508,7 +506,7 @@ def _overlaps(batches):
         x, y = np.where(swap, j, i), np.where(swap, i, j)
         for k in range(0, len(i), 1 << 16):
             u, v = x[k : k + (1 << 16)], y[k : k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row[u], row[v], first[u], last[u], first[v], last[v], np.zeros(len(u), np.int64), first[u], first[v])], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (row[u], row[v], first[u], last[u], first[v], last[v], np.zeros(len(u), np.int64))], names)
 
     def runs(cols):
         new = np.ones(len(cols[0]), bool)
@@ -537,10 +535,10 @@ def _met(nodes: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     parted = nodes.join(sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key")
     parted = parted.withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("parts").cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = parted.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "label", "row", "first", "last", "near")
-    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int, key long, a_place int, b_place int")
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int, key long")
 
 
-def _rare_keys(nodes: DataFrame) -> DataFrame:
+def _rare_keys(nodes: DataFrame, paths: dict[str, str]) -> DataFrame:
     """The nodes of keys that very many share, under finer keys: two stretches alike have DENSE tokens about their places in common, so if the tokens of each node are put in the order of how many nodes of the key have them, they have one in common before the last DENSE - 1 of either. What only one node has can be left out, and a line that all share falls to the end."""
     told = nodes.withColumn("node", F.xxhash64("row", "first"))
 
@@ -552,7 +550,7 @@ def _rare_keys(nodes: DataFrame) -> DataFrame:
             at = np.repeat(np.arange(len(own)), sizes)
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(at)), ids.take(pa.array(at)), pa.array(np.concatenate(own).astype(np.int64) if own else [], pa.int64())], ["key", "node", "token"])
 
-    tokens = stored(told.select("key", "node", "near").mapInArrow(spread, "key long, node long, token long"), "near")
+    tokens = stored(told.select("key", "node", "near").mapInArrow(spread, "key long, node long, token long"), "rare_tokens", paths)
     shared = cut(tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     ranked = tokens.join(shared, ["key", "token"]).groupBy("key", "node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t")).where(F.size("t") >= DENSE)
     rare = ranked.withColumn("t", F.explode(F.slice("t", F.lit(1), F.size("t") - DENSE + 1))).select("key", "node", "t.token")
@@ -578,7 +576,8 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK) -> DataFrame:
     """doc_id, start_word, end_word (exclusive), the same of the other document, similarity, and class_id of every verified stretch. few: nodes of a key that meet without a look at their tokens first; block: nodes of a key in one task."""
-    packed = stored(blocks(docs, MIN_WORDS), "passages")
+    spark, paths = docs.sparkSession, {}
+    packed = stored(blocks(docs, MIN_WORDS), "passages", paths)
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
     bodies = packed.select("bid", "body")
@@ -586,28 +585,35 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     marks = same.select(F.shiftright("row", IDX_BITS).alias("bid"), F.lit(COPY).alias("kind"), F.pmod("row", F.lit(1 << IDX_BITS)).alias("r"), F.lit(None).cast("binary").alias("blob"))
     sent = bodies.groupBy("bid").cogroup(marks.groupBy("bid")).applyInArrow(_send(ranges), "r long, bid long, blob binary")
     told = cut(sent.groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL)).unionByName(marks)
-    nodes = stored(bodies.groupBy("bid").cogroup(told.groupBy("bid")).applyInArrow(_meetings(ranges), _NODE_SQL), "nodes")
+    nodes = stored(bodies.groupBy("bid").cogroup(told.groupBy("bid")).applyInArrow(_meetings(ranges), _NODE_SQL), "nodes", paths)
+    forget(spark, paths)
     # the nodes of a key meet its first
-    pairs = stored(_by_pair(_star(nodes)), "pairs")
+    pairs = stored(_by_pair(_star(nodes, paths)), "pairs", paths)
+    forget(spark, paths, "first")
     wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-    tokens = stored(bodies.groupBy("bid").cogroup(wanted.groupBy(F.shiftright("row", IDX_BITS))).applyInArrow(_tokens_of, "row long, doc long, tokens binary"), "tokens")
-    found = stored(_verified(pairs, tokens), "found")
+    tokens = stored(bodies.groupBy("bid").cogroup(wanted.groupBy(F.shiftright("row", IDX_BITS))).applyInArrow(_tokens_of, "row long, doc long, tokens binary"), "tokens", paths)
+    forget(spark, paths, "passages")
+    found = stored(_verified(pairs, tokens), "found", paths)
+    forget(spark, paths, "pairs")
     # nodes of the keys of those that failed, with the class of their document by the links found: where classes differ they all meet
     failed = cut(found.select(F.explode("failed").alias("key")).distinct())
     roots = cut(components(found.where(F.size("a_first") > 0).select("a", "b"))).select(F.col("node").alias("row"), F.col("root").alias("label"))
-    held = stored(nodes.join(failed, "key").join(roots, "row", "left").withColumn("label", F.coalesce("label", "row")), "held")
+    held = stored(nodes.join(failed, "key").join(roots, "row", "left").withColumn("label", F.coalesce("label", "row")), "held", paths)
+    forget(spark, paths, "nodes")
     left = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
     left = cut(left.select("key", "n"))
     apart = held.join(left, "key")
     met = _met(apart.where(F.col("n") <= few).drop("n").withColumn("near", F.lit(None).cast("binary")), left.where(F.col("n") <= few), block)
-    near = stored(_near(apart.where(F.col("n") > few), tokens), "near")
+    near = stored(_near(apart.where(F.col("n") > few), tokens), "near", paths)
     met = met.unionByName(_met(near.where(F.col("n") <= block).drop("n"), left.where(F.col("n").between(few + 1, block)), block))
-    rare = stored(_rare_keys(near.where(F.col("n") > block).drop("n")), "rare")
+    rare = stored(_rare_keys(near.where(F.col("n") > block).drop("n"), paths), "rare", paths)
     met = met.unionByName(_met(rare, rare.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), block))
-    later = stored(_by_pair(met), "later")
+    later = stored(_by_pair(met), "later", paths)
+    forget(spark, paths, "held", "near", "rare", "rare_tokens")
     spots = F.explode(F.arrays_zip("a_first", "a_last", "b_first", "b_last", "similarity")).alias("s")
     found = _all([f.select("a", "b", "doc_a", "doc_b", spots) for f in (found, _verified(later, tokens))]).select("a", "b", "doc_a", "doc_b", "s.*")
     found = stored(found.dropDuplicates(["a", "b", "a_first", "a_last", "b_first", "b_last"]), "stretches")
+    forget(spark, paths, *paths)
     # classes of documents
     links = found.select("doc_a", "doc_b").unionByName(same.select(F.col("doc").alias("doc_a"), F.col("first_doc").alias("doc_b"))).where("doc_a <> doc_b").distinct()
     roots = cut(components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))))
