@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from tessera.session import cut, shared_folder
 
-__all__ = ["cut", "forget", "free_name", "keyed_texts", "stored"]
+__all__ = ["cut", "forget", "free_name", "keyed_texts", "stored", "trim"]
 
 
 def stored(df: DataFrame, name: str, paths: dict[str, str] | None = None) -> DataFrame:
@@ -31,6 +32,17 @@ def forget(spark: SparkSession, paths: dict[str, str], *names: str) -> None:
     spark._jvm.System.gc()
 
 
+def trim() -> None:
+    """Give memory that a Python worker has freed back to the machine; workers live on between tasks, and so would their largest moment."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library is another
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """A column name that df has not (names are compared as Spark does, without case)."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, forget, stored
+from tessera.llm.common import cut, forget, stored, trim
 from tessera.llm.components import components
 from tessera.llm.registry import query
 from tessera.llm.suffixes import _MESSAGE_SQL, IDX_BITS, RANGE_BYTES, _answer_hashes, _flags, _pack, _rows, _unpack, blocks, by_range, distinct
@@ -161,7 +161,7 @@ class Windows:
         a = 0
         self.count = np.zeros(len(sizes), np.int64)
         while a < len(sizes):  # some texts at a time, as the minima take much room
-            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (2 << 20), side="right")))
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 20), side="right")))
             base = int(ends[a - 1]) if a else 0
             token, count = shingles(raw[base : int(ends[b - 1])], ends[a:b] - base)
             self.count[a:b] = count
@@ -224,6 +224,7 @@ def _send(ranges: int):
         for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True):
             for r, k, several in Windows(body, _copies_in(right)).hashes(ranges):
                 rows.append((r, bid, _pack(np.diff(k, prepend=np.uint64(0)), np.packbits(several))))
+        trim()
         return _rows(rows, [("r", pa.int64()), ("bid", pa.int64()), ("blob", pa.binary())])
 
     return run
@@ -245,6 +246,8 @@ def _meetings(ranges: int):
             hit = keys[at] == own.key if len(keys) else np.zeros(len(own.key), bool)
             both, text, first, last, place = own.meetings(hit)
             tables.append(pa.table([both.view(np.int64), (bid << IDX_BITS) + text, *(x.astype(np.int32) for x in (first, last, place))], schema=pa.schema(_NODE)))
+            own = every = keys = at = hit = None
+        trim()
         return pa.concat_tables(tables)
 
     return run

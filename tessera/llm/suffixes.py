@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, keyed_texts, stored
+from tessera.llm.common import cut, keyed_texts, stored, trim
 from tessera.llm.registry import query
 
 WIDTH, GRAM = 50, 24
@@ -109,6 +109,7 @@ def blocks(docs: DataFrame, words: int = 0) -> DataFrame:
                 size += len(raw)
         if ids:
             yield row(pid, seq, ids, texts)
+        trim()
 
     return keyed_texts(docs).mapInArrow(run, sql)
 
