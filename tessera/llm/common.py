@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ def forget(spark: SparkSession, paths: dict[str, str], *names: str) -> None:
     for name in names:
         path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop(name))
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark.range(1).count()  # the engine holds on to the last query alone
+    gc.collect()
     spark._jvm.System.gc()
 
 

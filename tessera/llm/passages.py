@@ -150,12 +150,11 @@ def compact_windows(token: np.ndarray, count: np.ndarray, function: int) -> tupl
 
 
 class Windows:
-    """A block's documents and the compact windows of those that have an id and aren't copies (places in the block)."""
+    """A block's documents and the compact windows of those that have an id."""
 
-    def __init__(self, body: bytes, copies: np.ndarray):
+    def __init__(self, body: bytes):
         self.ids, self.no_id, sizes, raw = _unpack(body)
-        alone = self.no_id == 0
-        alone[copies] = False
+        known = self.no_id == 0
         ends = np.cumsum(sizes)
         parts = [[np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]]
         a = 0
@@ -168,8 +167,8 @@ class Windows:
             start = np.cumsum(count) - count
             for f in range(HASHES):
                 t, lo, c, hi = compact_windows(token, count, f)
-                known = alone[t + a]
-                t, lo, c, hi = t[known], lo[known], c[known], hi[known]
+                own = known[t + a]
+                t, lo, c, hi = t[own], lo[own], c[own], hi[own]
                 parts.append([t + a, lo, c, hi, np.full(len(t), f), _mixed(token[start[t] + c] + np.uint64(f + 1))])
             a = b
         self.text, self.lo, self.c, self.hi, self.function, self.key = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -219,13 +218,13 @@ def _copies_in(messages: pa.Table) -> np.ndarray:
 
 
 def _send(ranges: int):
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True):
-            for r, k, several in Windows(body, _copies_in(right)).hashes(ranges):
-                rows.append((r, bid, _pack(np.diff(k, prepend=np.uint64(0)), np.packbits(several))))
+    def run(batches):
+        for batch in batches:
+            for bid, body in zip(batch.column("bid").to_pylist(), batch.column("body"), strict=True):
+                for r, k, several in Windows(body.as_py()).hashes(ranges):
+                    blob = _pack(np.diff(k, prepend=np.uint64(0)), np.packbits(several))
+                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([bid], pa.int64()), pa.array([blob], pa.binary())], ["r", "bid", "blob"])
         trim()
-        return _rows(rows, [("r", pa.int64()), ("bid", pa.int64()), ("blob", pa.binary())])
 
     return run
 
@@ -238,13 +237,15 @@ def _meetings(ranges: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         flags, tables = _flags(right), [pa.schema(_NODE).empty_table()]
         for bid, body in zip(left["bid"].to_pylist(), left["body"].to_pylist(), strict=True):
-            own = Windows(body, _copies_in(right))
+            own = Windows(body)
+            alone = np.ones(len(own.count), bool)
+            alone[_copies_in(right)] = False
             every = [(k, flags[r]) for r, k, _ in own.hashes(ranges) if r in flags]
             keys = np.concatenate([k[f] for k, f in every]) if every else np.zeros(0, np.uint64)
             at = np.searchsorted(keys, own.key)
             at[at == len(keys)] = 0
             hit = keys[at] == own.key if len(keys) else np.zeros(len(own.key), bool)
-            both, text, first, last, place = own.meetings(hit)
+            both, text, first, last, place = own.meetings(hit & alone[own.text])
             tables.append(pa.table([both.view(np.int64), (bid << IDX_BITS) + text, *(x.astype(np.int32) for x in (first, last, place))], schema=pa.schema(_NODE)))
             own = every = keys = at = hit = None
         trim()
@@ -469,11 +470,9 @@ def _by_pair(pairs: DataFrame) -> DataFrame:
 
 def _star(nodes: DataFrame, paths: dict[str, str]) -> DataFrame:
     """Pairs of each node with its key's node of the smallest row, which is b."""
-    low = stored(nodes.groupBy("key").agg(F.min("row").alias("b"), F.max("row").alias("high")).where("b < high").select("key", "b"), "low", paths)
+    first = nodes.groupBy("key").agg(F.min(F.struct("row", "first", "last")).alias("f"), F.max("row").alias("high")).where("f.row < high")
+    first = stored(first.select("key", F.col("f.row").alias("b"), F.col("f.first").alias("b_lo"), F.col("f.last").alias("b_hi")), "first", paths)
     forget(nodes.sparkSession, paths)
-    first = nodes.join(low, "key").where("row = b").select("key", "b", F.col("first").alias("b_lo"), F.col("last").alias("b_hi"))
-    first = stored(first, "first", paths)
-    forget(nodes.sparkSession, paths, "low")
     return nodes.join(first, "key").where("row > b").select(F.col("row").alias("a"), "b", F.col("first").alias("a_lo"), F.col("last").alias("a_hi"), "b_lo", "b_hi", "key")
 
 
@@ -586,7 +585,7 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     bodies = packed.select("bid", "body")
     same = copies(packed)
     marks = same.select(F.shiftright("row", IDX_BITS).alias("bid"), F.lit(COPY).alias("kind"), F.pmod("row", F.lit(1 << IDX_BITS)).alias("r"), F.lit(None).cast("binary").alias("blob"))
-    sent = bodies.groupBy("bid").cogroup(marks.groupBy("bid")).applyInArrow(_send(ranges), "r long, bid long, blob binary")
+    sent = bodies.mapInArrow(_send(ranges), "r long, bid long, blob binary")
     told = cut(sent.groupBy("r").applyInArrow(_answer_hashes, _MESSAGE_SQL)).unionByName(marks)
     nodes = stored(bodies.groupBy("bid").cogroup(told.groupBy("bid")).applyInArrow(_meetings(ranges), _NODE_SQL), "nodes", paths)
     forget(spark, paths)
