@@ -5,7 +5,7 @@ A document's tokens are the shingles of five words. Under a hash function, all s
 1. Documents are packed into compressed blocks (as for exact dedup). Of documents with the same text one stands for all, and the others are linked with it. Each block sends its windows' token hashes and hears which of them another document has too.
 2. Windows that are left and overlap in their document are taken together: their smallest tokens under two functions are a node's key, what they have in common is its stretch. So nodes meet only where ENOUGH functions agree, and a popular shingle alone joins nothing.
 3. The nodes of a key meet its first.
-4. Where that found no stretch at a node's place, all nodes of the key whose documents aren't linked yet meet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond a block are parted by rare tokens that similar stretches must share.
+4. Where that found no stretch at a node's place, all nodes of the key whose documents aren't linked yet meet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond BLOCKS of them are parted by rare tokens that similar stretches must share.
 5. Stretches that meet are verified on the shingles themselves: shared shingles are chained over all their places in the other text, by the diagonals that most of them share, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
 So two documents that share a passage word for word are always of one class, as such a passage has its smallest tokens under every function, and of those of similarity s enough of HASHES functions agree with chance 0.993 at s = 0.8. Inside a class, copies aren't expanded into all pairs: its documents are held against the first ones of their keys.
@@ -33,8 +33,8 @@ TOKENS = MIN_WORDS - SHINGLE + 1
 DENSE = 30
 #: Tokens of a text that vote on a diagonal together.
 NEAR = 256
-#: Nodes of a key that meet directly, nodes that one block of a key holds, and tokens on either side of a node's place that are held against others'.
-FEW, BLOCK, REACH = 4, 512, 52
+#: Nodes of a key that meet directly, nodes that one block of a key holds, blocks of a key whose pairs are gone through, and tokens on either side of a node's place that are held against others'.
+FEW, BLOCK, BLOCKS, REACH = 4, 512, 16, 52
 #: Kind of the messages that name a block's copies.
 COPY = 2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -489,19 +489,29 @@ def _overlaps(batches):
             ok &= part[i] != part[j]
         i, j = i[ok], j[ok]
         if len(i) and near[0] is not None:
-            flat = np.concatenate([np.unique(np.frombuffer(x, "<u4")) for x in near])
-            who = np.repeat(np.arange(n), [len(np.unique(np.frombuffer(x, "<u4"))) for x in near])
-            _, token, times = np.unique(flat, return_inverse=True, return_counts=True)
-            common = np.zeros((n, n), np.float32)
-            some = np.flatnonzero(times > 1)
+            own = [np.unique(np.frombuffer(x, "<u4")) for x in near]
+            who = np.repeat(np.arange(n), [len(x) for x in own])
+            _, token, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+            # tokens of many nodes are counted as a product of matrices, the others pair by pair
+            many = np.flatnonzero(times > 32)
             rank = np.full(len(times), -1)
-            rank[some] = np.arange(len(some))
-            for k in range(0, len(some), 2048):  # some tokens at a time
+            rank[many] = np.arange(len(many))
+            common = np.zeros((n, n), np.float32)
+            for k in range(0, len(many), 2048):
                 at = rank[token] - k
                 here = (at >= 0) & (at < 2048)
-                has = np.zeros((n, min(2048, len(some) - k)), np.float32)
+                has = np.zeros((n, min(2048, len(many) - k)), np.float32)
                 has[who[here], at[here]] = 1
                 common += has @ has.T
+            some = (times[token] > 1) & (times[token] <= 32)
+            order = np.flatnonzero(some)[np.argsort(token[some], kind="stable")]
+            token, who = token[order], who[order]
+            flat, idx, d = common.reshape(-1), np.arange(len(token)), 1
+            while len(idx):
+                idx = idx[idx + d < len(token)]
+                idx = idx[token[idx + d] == token[idx]]
+                flat += np.bincount(who[idx] * n + who[idx + d], minlength=n * n)
+                d += 1
             ok = common[i, j] >= DENSE
             i, j = i[ok], j[ok]
         swap = row[i] < row[j]
@@ -556,7 +566,7 @@ def _rare_keys(nodes: DataFrame, paths: dict[str, str]) -> DataFrame:
     shared = cut(tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     ranked = tokens.join(shared, ["key", "token"]).groupBy("key", "node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t")).where(F.size("t") >= DENSE)
     rare = ranked.withColumn("t", F.explode(F.slice("t", F.lit(1), F.size("t") - DENSE + 1))).select("key", "node", "t.token")
-    return rare.join(told, ["key", "node"]).select(F.xxhash64("key", "token").alias("key"), "row", "first", "last", "label", "near")
+    return rare.join(told.drop("near"), ["key", "node"]).select(F.xxhash64("key", "token").alias("key"), "row", "first", "last", "label", F.lit(None).cast("binary").alias("near"))
 
 
 def _near(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -607,8 +617,8 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     apart = held.join(left, "key")
     met = _met(apart.where(F.col("n") <= few).drop("n").withColumn("near", F.lit(None).cast("binary")), left.where(F.col("n") <= few), block)
     near = stored(_near(apart.where(F.col("n") > few), tokens), "near", paths)
-    met = met.unionByName(_met(near.where(F.col("n") <= block).drop("n"), left.where(F.col("n").between(few + 1, block)), block))
-    rare = stored(_rare_keys(near.where(F.col("n") > block).drop("n"), paths), "rare", paths)
+    met = met.unionByName(_met(near.where(F.col("n") <= BLOCKS * block).drop("n"), left.where(F.col("n").between(few + 1, BLOCKS * block)), block))
+    rare = stored(_rare_keys(near.where(F.col("n") > BLOCKS * block).drop("n"), paths), "rare", paths)
     met = met.unionByName(_met(rare, rare.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), block))
     later = stored(_by_pair(met), "later", paths)
     forget(spark, paths, "held", "near", "rare", "rare_tokens")

@@ -436,8 +436,9 @@ def classes_of(pairs):
 
 
 @pytest.mark.parametrize("few, block", [(50, 512), (2, 512), (2, 4)])
-def test_passages_against_all_pairs(spark, few, block):
+def test_passages_against_all_pairs(spark, monkeypatch, few, block):
     """Equal passages are all found and similar ones as often as chance says, in whichever way the nodes of a key meet; classes are those of all pairs."""
+    monkeypatch.setattr(passages, "BLOCKS", 1 if block < 10 else 16)
     rng = random.Random(3)
     new = iter(range(10**6))
     fresh = lambda n: [f"w{next(new)}" for _ in range(n)]
