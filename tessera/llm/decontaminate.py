@@ -2,7 +2,7 @@
 
 Benchmark items are cut into overlapping segments. A text that holds a segment within k edits shares at least w + 1 - q (k + 1) of its w + 1 - q character q-grams with it, all on diagonals (place in the text less place in the segment) at most k apart. So shared q-grams are counted in overlapping diagonal bands, regions that meet the bound are kept, and a banded alignment verifies each. All steps work on whole batches of texts at once.
 
-Texts are compared in lower case with white space as single spaces. An item shorter than a segment is one segment, with an edit budget in proportion; items under MIN_ITEM characters are too short to say anything and match nothing.
+Texts are compared in lower case with white space as single spaces. An item shorter than a segment is one segment, with an edit budget in proportion. An item under MIN_ITEM characters must stand in the text as it is, between ends of words; those under Q characters have no q-gram and are looked up by a hash of their whole. Items without a letter or digit match nothing.
 
 Defined cases: a null or empty text or item matches nothing; a null doc_id or item_id is carried; repeated rows match each for themselves; an empty table on either side gives an empty result. Other columns are ignored.
 """
@@ -21,7 +21,7 @@ from tessera.llm.registry import query
 
 Q, SEGMENT, EDITS, MIN_ITEM = 10, 64, 4, 32
 #: Characters of benchmark items in one broadcast index; a larger benchmark is worked off in parts of this size.
-INDEX_CHARS = 8_000_000
+INDEX_CHARS = 2_000_000
 
 _SPACES = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
 _MULT = 0x9E3779B97F4A7C15
@@ -72,28 +72,49 @@ def gram_hashes(code: np.ndarray) -> np.ndarray:
         return out ^ (out >> np.uint64(29))
 
 
+def _whole_hashes(code: np.ndarray, w: int) -> np.ndarray:
+    """A hash of the w code points from each place."""
+    n = max(0, len(code) - w + 1)
+    out = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(w):
+            out = out * np.uint64(_MULT) + code[k : k + n].astype(np.uint64) + np.uint64(1)
+    return out
+
+
+def _word_chars(code: np.ndarray) -> np.ndarray:
+    """Which code points are letters or digits."""
+    kinds, which = np.unique(code, return_inverse=True)
+    return np.array([chr(c).isalnum() for c in kinds.tolist()], bool)[which] if len(kinds) else np.zeros(0, bool)
+
+
 class SegmentIndex:
     """Segments of benchmark items and, for each q-gram of theirs, where it stands."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
         self.ids = [i for i, _ in items]
         self.segments: list[np.ndarray] = []
-        owner, edits, grams, gram_segment, gram_at = [], [], [], [], []
+        owner, edits, exact, grams, gram_segment, gram_at = [], [], [], [], [], []
+        self.tiny: dict[int, dict[int, list[int]]] = {}
         for k, (_, text) in enumerate(items):
             code, _, _, _ = squeezed([text])
             code = code[:-1]
             code = code[int(len(code) > 0 and code[0] == 32) : len(code) - int(len(code) > 1 and code[-1] == 32)]
-            if len(code) < MIN_ITEM:
+            if not _word_chars(code).any():
                 continue
-            w = min(SEGMENT, len(code))
+            w, short = min(SEGMENT, len(code)), len(code) < MIN_ITEM
             for a in sorted({*range(0, len(code) - w + 1, SEGMENT // 2), len(code) - w}):
                 s = len(self.segments)
                 self.segments.append(code[a : a + w])
                 owner.append(k)
-                edits.append(max(0, min(EDITS * w // SEGMENT, (w - Q) // Q)))
+                edits.append(0 if short else max(0, min(EDITS * w // SEGMENT, (w - Q) // Q)))
+                exact.append(short)
+                if w < Q:
+                    self.tiny.setdefault(w, {}).setdefault(int(_whole_hashes(code, w)[0]), []).append(s)
+                    continue
                 h = gram_hashes(code[a : a + w])
-                grams.append(h), gram_segment.append(np.full(len(h), s)), gram_at.append(np.arange(len(h)))
-        self.owner, self.edits = np.array(owner, int), np.array(edits, int)
+                grams.append(h), gram_segment.append(np.full(len(h), s, np.int32)), gram_at.append(np.arange(len(h), dtype=np.int32))
+        self.owner, self.edits, self.exact = np.array(owner, int), np.array(edits, int), np.array(exact, bool)
         self.width = np.array([len(s) for s in self.segments], int)
         self.padded = np.zeros((len(self.segments), SEGMENT), np.uint32)
         for k, s in enumerate(self.segments):
@@ -131,7 +152,7 @@ class SegmentIndex:
             n = counts[at:stop]
             row = np.repeat(np.arange(at, stop), n)
             hit = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + self.gram_start[g[row]]
-            seg = self.gram_segment[hit]
+            seg = self.gram_segment[hit].astype(np.int64)
             diagonal = place[row] - self.gram_at[hit] + SEGMENT
             band = diagonal // (self.edits[seg] + 1)
             both = np.concatenate([seg << 40 | band, seg << 40 | (band - 1)])
@@ -173,16 +194,33 @@ class SegmentIndex:
             end[k : k + 4096] = first + at + width
         return best, end
 
+    def exactly(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, end) of all places of the items that have no q-gram."""
+        found: list[tuple[int, int]] = []
+        for w, known in self.tiny.items():
+            h = _whole_hashes(code, w)
+            for at in np.flatnonzero(np.isin(h, np.fromiter(known, np.uint64, len(known)))).tolist():
+                found += [(s, at + w) for s in known[int(h[at])] if (self.segments[s] == code[at : at + w]).all()]
+        both = np.array(found, int).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
+
     def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(place of the text, place of the item, start, end, edits) of each text and item that match: the widest stretch of the text over all segments found, in code points, and the fewest edits of a segment."""
         code, place, starts, first = squeezed(texts)
         seg, diagonal = self.regions(code)
-        if not len(seg):
-            return []
         edits, end = self.align(code, seg, diagonal)
         good = edits <= self.edits[seg]
-        seg, edits, end = seg[good], edits[good], np.clip(end[good], 1, len(code))
+        tiny, tiny_end = self.exactly(code)
+        seg, edits, end = np.append(seg[good], tiny), np.append(edits[good], np.zeros(len(tiny), int)), np.append(np.clip(end[good], 1, len(code)), tiny_end)
+        if not len(seg):
+            return []
         start = np.maximum(0, end - self.width[seg])
+        # short items stand between ends of words
+        inner = self.exact[seg].copy()
+        ends_in_word = _word_chars(code[end - 1]) & _word_chars(code[np.minimum(end, len(code) - 1)])
+        starts_in_word = (start > 0) & _word_chars(code[start]) & _word_chars(code[start - 1])
+        good = ~(inner & (ends_in_word | starts_in_word))
+        seg, edits, end, start = seg[good], edits[good], end[good], start[good]
         text = np.searchsorted(starts, end - 1, side="right") - 1
         out: dict[tuple[int, int], tuple[int, int, int]] = {}
         for t, o, a, b, e in zip(text.tolist(), self.owner[seg].tolist(), np.maximum(place[start], first[text]).tolist(), (place[end - 1] + 1).tolist(), edits.tolist(), strict=True):

@@ -186,6 +186,50 @@ def test_decontamination(spark, docs, corpus):
     assert len(parts) > 1 and sum(len(p.ids) for p in parts) == 13
 
 
+def least_edits(segment, text):
+    """Edits of the segment against any stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for k, c in enumerate(segment, 1):
+        new = [k]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def test_decontamination_against_all_places(spark):
+    """Items of all lengths against every stretch of every text."""
+    rng = random.Random(17)
+    items = [(k, prose(rng, n)) for k, n in enumerate((30, 16, 9, 6, 4, 12))] + [(20, "What is the capital of Peru?"), (21, "río été"), (22, "42"), (23, "?!"), (24, "is it")]
+    texts = []
+    for _, item in items[:6]:
+        for edits in (0, 1, 2, 4, 6):
+            own = list(item)
+            for p in rng.sample(range(len(own)), min(edits, len(own) // 3)):
+                own[p] = rng.choice(["", "#", own[p] + "+"])
+            texts.append(prose(rng, 5) + " " + "".join(own) + " " + prose(rng, 5))
+        texts.append(prose(rng, 5) + " " + item[len(item) // 3 :])
+    texts += ["So: what IS the\n capital of Peru? Lima.", "somewhat is the capital of peru?", "RÍO  été", "arío été", "342 42nd 4 2", "(42)", "?!", "this it", "that is, is it?", "", None, "42"]
+    brute = set()
+    squeeze = lambda t: re.sub(r"\s+", " ", t or "").lower()
+    for k, (_, item) in enumerate(items):
+        own = decontaminate.SegmentIndex([(k, item)])
+        for d, t in enumerate(texts):
+            flat = squeeze(t)
+            if len(squeeze(item)) < 32:
+                spots = [m.start() for m in re.finditer(f"(?={re.escape(squeeze(item))})", flat)] if re.search(r"\w", item) else []
+                n = len(squeeze(item))
+                if any(not (p and flat[p - 1].isalnum() and flat[p].isalnum()) and not (p + n < len(flat) and flat[p + n].isalnum() and flat[p + n - 1].isalnum()) for p in spots):
+                    brute.add((d, items[k][0]))
+            elif any(least_edits("".join(map(chr, s)), flat) <= e for s, e in zip(own.segments, own.edits.tolist(), strict=True)):
+                brute.add((d, items[k][0]))
+    docs = spark.createDataFrame([(k, t, None, None, 0) for k, t in enumerate(texts)], SCHEMA)
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == brute and {20, 21, 22, 24} <= {i for _, i in got} and len(brute) >= 20
+    spot = got[36, 20]
+    assert texts[36][spot["start"] : spot["end"]] == "what IS the\n capital of Peru?"
+
+
 def brute_spans(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
