@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.gates import first_reason
+from tessera.session import cut
 
 
 @dataclass(frozen=True)
@@ -32,15 +34,33 @@ class Tiers:
 EXTREME_MIDDLE = Tiers(0.20, 0.80, (0.40, 0.60))
 
 
-def exact_quantiles(value: str, levels, scale: int | None = None) -> Column:
-    """The exact quantiles of a group, linear between ranks, as an array. Equal values are counted before they are shuffled, so memory follows the distinct values; scale rounds them first."""
-    c = F.col(value) if scale is None else F.round(value, scale)
-    return F.percentile(c, F.array(*(F.lit(float(x)) for x in levels)))
+def quantiles(df: DataFrame, group: list[str], value: str, levels) -> DataFrame:
+    """group, n and q: the exact quantiles of each group's values, linear between ranks; without groups one row.
+
+    Values are counted, dealt out in ranges and numbered within them; ranks follow from the ranges' sums. So neither the values of a large group nor the rows of a frequent value meet in one task.
+    """
+    g = [F.col(c).alias(f"_g{k}") for k, c in enumerate(group)]
+    keys = [f"_g{k}" for k in range(len(group))]
+    counted = df.where(F.col(value).isNotNull()).groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = cut(counted.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id()))
+    sums = ranged.groupBy(*keys, "_p").agg(F.sum("_c").alias("_t"))
+    whole = W.partitionBy(*keys)
+    sums = sums.withColumn("_b", F.sum("_t").over(whole.orderBy("_p")) - F.col("_t")).withColumn("_n", F.sum("_t").over(whole)).drop("_t")
+    inside = ranged.withColumn("_s", F.sum("_c").over(W.partitionBy(*keys, "_p").orderBy("_v")))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in (*keys, "_p")]
+    placed = inside.alias("a").join(sums.alias("b"), same).select(*(f"a.{k}" for k in keys), "_v", "_n", (F.col("_b") + F.col("_s") - F.col("_c")).alias("_from"), (F.col("_b") + F.col("_s")).alias("_to"))
+    at = {k: F.lit(float(x)) * (F.col("_n") - 1) for k, x in enumerate(levels)}
+    ends = [(f"_{name}{k}", f(x)) for k, x in at.items() for name, f in (("low", F.floor), ("high", F.ceil))]
+    found = placed.groupBy(*keys).agg(F.max("_n").alias("_n"), *(F.max(F.when((F.col("_from") <= r) & (r < F.col("_to")), F.col("_v"))).alias(name) for name, r in ends))
+    between = [
+        F.when(F.col(f"_low{k}") == F.col(f"_high{k}"), F.col(f"_low{k}")).otherwise((F.ceil(x) - x) * F.col(f"_low{k}") + (x - F.floor(x)) * F.col(f"_high{k}")) for k, x in at.items()
+    ]
+    return found.select(*(F.col(k).alias(c) for k, c in zip(keys, group, strict=True)), F.coalesce("_n", F.lit(0)).alias("n"), F.array(*between).alias("q"))
 
 
 def boundaries(df: DataFrame, value: str, tiers: Tiers) -> DataFrame:
     """One row: n and the quantiles q of the value over the rows that have one."""
-    return df.where(F.col(value).isNotNull()).agg(F.count(value).alias("n"), exact_quantiles(value, tiers.levels).alias("q"))
+    return quantiles(df, [], value, tiers.levels)
 
 
 def check_boundaries(bounds: DataFrame, tiers: Tiers) -> list[float]:
@@ -61,10 +81,9 @@ def speed_tier(value: Column, q: Column, banded: bool) -> Column:
 
 
 def with_tiers(df: DataFrame, value: str, tiers: Tiers, tier: str = "tier", calibrate: Column | None = None) -> DataFrame:
-    """The rows with their tier; boundaries come from the rows where calibrate holds, as one broadcast row."""
-    base = df if calibrate is None else df.where(calibrate)
-    q = boundaries(base, value, tiers).select(F.col("q").alias("_q"))
-    return df.crossJoin(F.broadcast(q)).withColumn(tier, speed_tier(F.col(value), F.col("_q"), tiers.band is not None)).drop("_q")
+    """The rows with their tier; boundaries come from the rows where calibrate holds. Fails with too few of these, or if boundaries don't rise."""
+    q = check_boundaries(boundaries(df if calibrate is None else df.where(calibrate), value, tiers), tiers)
+    return df.withColumn(tier, speed_tier(F.col(value), F.array(*map(F.lit, q)), tiers.band is not None))
 
 
 def with_proxy_tiers(df: DataFrame, value: str, tiers: Tiers, proxy: str, mixed: str) -> DataFrame:
@@ -84,8 +103,12 @@ class GroupTiers:
 
 def group_thresholds(df: DataFrame, group: str, metrics: list[str], tiers: GroupTiers) -> DataFrame:
     """group, n, an array of thresholds for each metric, and reason: why the group has none."""
-    # the percentile aggregates keep counts of distinct values, merged from map-side partials
-    out = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *(exact_quantiles(m, tiers.levels).alias(f"q_{m}") for m in metrics))
+    # all metrics in one pass, as groups of their own
+    each = df.select(F.col(group).alias("_group"), F.explode(F.array(*(F.struct(F.lit(m).alias("m"), F.col(m).cast("double").alias("x")) for m in metrics))).alias("_s"))
+    q = quantiles(each.select("_group", F.col("_s.m").alias("_m"), F.col("_s.x").alias("_x")), ["_group", "_m"], "_x", tiers.levels)
+    wide = q.groupBy("_group").agg(*(F.max(F.when(F.col("_m") == m, F.col("q"))).alias(f"q_{m}") for m in metrics))
+    sizes = df.groupBy(F.col(group).alias("_size_of")).agg(F.count(F.lit(1)).alias("n"))
+    out = sizes.join(wide, F.col("_size_of").eqNullSafe(F.col("_group")), "left").select(F.col("_size_of").alias(group), "n", *(f"q_{m}" for m in metrics))
     rules = [("group_too_small", F.col("n") < tiers.min_records)]
     for names, least, reason in tiers.spans:
         spans = [F.get(f"q_{m}", F.lit(3)) - F.get(f"q_{m}", F.lit(0)) for m in names]

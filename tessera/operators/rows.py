@@ -7,8 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.functions.identity import audio_key, field, present, stable_index
+from tessera.functions.identity import audio_key, field, path_key, present, stable_index
+from tessera.operators.calibrate import quantiles
 from tessera.operators.gates import first_reason
+from tessera.session import cut
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -37,13 +39,11 @@ def approved(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 
 def excluded(df: DataFrame, variants: Column, keys: DataFrame, key: str) -> DataFrame:
-    """The rows without any identity in the list. Rows are told apart by their place, so a row with several identities goes if one is listed."""
-    numbered = df.withColumn("_v", variants)
+    """The rows without any identity in the list. Rows get a number, and identities and numbers alone meet the list, so rows of any types will do and a row with several identities goes if one is listed."""
+    numbered = cut(df.withColumn("_v", variants).withColumn("_row", F.monotonically_increasing_id()))
     listed = keys.select(F.col(key).alias("_k")).distinct()
-    flat = numbered.withColumn("_k", F.explode("_v")).join(listed, "_k", "left_semi")
-    hit = flat.select(*(F.col(c).alias(f"_h_{c}") for c in df.columns)).distinct()
-    on = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in df.columns]
-    return df.join(hit, on, "left_anti")
+    hit = numbered.select("_row", F.explode("_v").alias("_k")).join(listed, "_k", "left_semi").select("_row").distinct()
+    return numbered.join(hit, "_row", "left_anti").select(df.columns)
 
 
 def top_k(df: DataFrame, group: list[str], order: list, k: int, rank: str = "rank") -> DataFrame:
@@ -53,7 +53,7 @@ def top_k(df: DataFrame, group: list[str], order: list, k: int, rank: str = "ran
 
 def closest_to_median(df: DataFrame, group: str, value: str, tie: str, k: int) -> DataFrame:
     """The k rows of each group nearest to its exact median, ranked by value. Medians are aggregated and joined, not windowed over whole groups."""
-    medians = df.groupBy(group).agg(F.percentile(value, F.lit(0.5)).alias("median"))
+    medians = quantiles(df, [group], value, [0.5]).select(group, F.col("q")[0].alias("median"))
     near = df.join(medians, group).withColumn("distance", F.abs(F.col(value) - F.col("median")))
     return top_k(top_k(near, [group], ["distance", tie], k, "_near").drop("_near"), [group], [value, tie], k)
 
@@ -74,10 +74,17 @@ def attach_reference(targets: DataFrame, pool: DataFrame, group: str, target_pat
     return out.withColumn("ref_audio", F.when(some, pick).otherwise(F.col("_self"))).withColumn("ref_policy", policy).drop("pool", "_self", "_id", "_can")
 
 
-def attach_fixed(targets: DataFrame, refs: DataFrame, key: str, key_value: str, place: str, path: str, applies: Column) -> DataFrame:
-    """The targets where applies holds with the path of the first reference of the key; the others untouched."""
-    one = refs.where(F.col(key) == key_value).orderBy(place).limit(1).select(F.col(path).alias("_ref"))
-    return targets.join(F.broadcast(one), F.lit(True), "left").withColumn("ref_audio", F.when(applies, F.col("_ref"))).drop("_ref")
+def attach_fixed(targets: DataFrame, refs: DataFrame, key: str, key_value: str, place: str, path: str, applies: Column, audio: str | None = None) -> DataFrame:
+    """The targets where applies holds with the path of the first reference of the key; the others untouched. Fails without such a reference and, if the targets' own audio is named, where a target has none or is itself the reference."""
+    found = refs.where(F.col(key) == key_value).orderBy(place).limit(1).select(path).collect()
+    if not found or not found[0][0]:
+        raise ValueError(f"no reference with the key {key_value}")
+    ref = F.lit(found[0][0])
+    if audio is not None:
+        own = present(F.col(audio))
+        fault = F.when(own.isNull(), "a target has no audio").when(path_key(own) == path_key(ref), "a target is the fixed reference")
+        ref = F.when(fault.isNull(), ref).otherwise(F.raise_error(fault).cast("string"))
+    return targets.withColumn("ref_audio", F.when(applies, ref))
 
 
 def variants(df: DataFrame, table: list[tuple[str, str]]) -> DataFrame:

@@ -168,7 +168,7 @@ def candidate_report(scan: DataFrame, plan: CandidatePlan = CandidatePlan()) ->
 
 
 def assemble(found: DataFrame, replay: DataFrame, in_stage: Column, excluded_keys: DataFrame, approved_ids: DataFrame | None, sources: list[str], seed: int = 42, per_control: int | None = None, replay_ratio: float = 1.0) -> DataFrame:
-    """A stage's rows: controls balanced over tags and, within a tag, over source and emotion; and untagged replay rows that are no control's target. Both tables have key, record_id, control_candidate_id, audio, text, source and line; found has control_tag. Fails where a tag is missing or replay falls short."""
+    """A stage's rows: controls balanced over tags and, within a tag, over source and emotion; and untagged replay rows that are no control's target. Both tables have key, record_id, control_candidate_id, audio, text, source and line; found has control_tag. Fails where a tag is missing, has fewer rows than asked for, or replay falls short."""
     listed = excluded_keys.select(F.col("key").alias("_k")).distinct()
 
     def outside(df: DataFrame) -> DataFrame:
@@ -184,9 +184,11 @@ def assemble(found: DataFrame, replay: DataFrame, in_stage: Column, excluded_key
     stable = identity.stable_key(F.col("key"), F.col("audio"))
     staged = staged.withColumn("target", F.coalesce(stable, F.concat(F.lit("line:"), F.col("line").cast("string"))))
     staged = rows.keep_first(staged, ["control_tag", "target"], ["line"])
-    seen = {r[0] for r in staged.select("control_tag").distinct().collect()}
-    if missing := sorted(set(text.CONTROL_TAGS) - seen):
+    seen = {r["control_tag"]: r["count"] for r in staged.groupBy("control_tag").count().collect()}
+    if missing := sorted(set(text.CONTROL_TAGS) - set(seen)):
         raise ValueError(f"missing eligible control tags: {missing}")
+    if per_control is not None and (short := sorted(t for t, n in seen.items() if n < per_control)):
+        raise ValueError(f"fewer than {per_control} eligible rows of {short}")
     staged = staged.withColumn("emotion", text.emotion_family("text"))
     controls = sampling.stratified(staged, "control_tag", ["source", "emotion"], "target", seed, per_control)
     pool = outside(replay.where(in_stage & ~text.text("text").rlike("【(?:" + "|".join(text.CONTROL_TAGS) + "|loud|speed_very_slow|speed_very_fast)】")))

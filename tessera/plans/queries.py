@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from tessera.functions import alias, identity, intervals, numbers, text
 from tessera.operators import calibrate, gates, rows, sampling
 from tessera.plans.registry import query
-from tessera.session import table
+from tessera.session import cut, table
 
 TOKEN_SQL = "len(regexp_extract_all(text, '[一-鿿]|[A-Za-z0-9]+'))"
 RATED_SQL = f"rated AS (SELECT doc_id, source, lang, text, {TOKEN_SQL} AS units, {TOKEN_SQL} / length(text)::DOUBLE AS rate FROM documents WHERE {TOKEN_SQL} >= 4)"
 
 
 def rated(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of four tokens at least with their tokens per character."""
-    docs = table(spark, sf, "documents").withColumn("units", text.count_units(F.col("text")))
-    return docs.where("units >= 4").withColumn("rate", F.col("units") / F.char_length("text"))
+    """Documents of four tokens at least with their tokens per character; stored, as texts are read once and the numbers more often."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", F.char_length("text").alias("size"), text.count_units(F.col("text")).alias("units"))
+    return cut(docs).where("units >= 4").withColumn("rate", F.col("units") / F.col("size")).drop("size")
 
 
 def literal(spark: SparkSession, schema: str, data: list[tuple]) -> DataFrame:
@@ -55,8 +55,8 @@ def speed_tiers_extreme_middle(spark, sf):
     f"WITH {RATED_SQL} SELECT count(rate) AS n, round(quantile_cont(rate, 0.2), 6) AS q20, round(quantile_cont(rate, 0.8), 6) AS q80, round(min(rate), 6) AS low, round(quantile_cont(rate, 0.5), 6) AS middle, round(max(rate), 6) AS high FROM rated",
 )
 def speed_boundaries(spark, sf):
-    q = calibrate.exact_quantiles("rate", (0.2, 0.5, 0.8))
-    out = rated(spark, sf).agg(F.count("rate").alias("n"), q.alias("q"), F.min("rate").alias("low"), F.max("rate").alias("high"))
+    docs = rated(spark, sf)
+    out = calibrate.quantiles(docs, [], "rate", (0.2, 0.5, 0.8)).crossJoin(F.broadcast(docs.agg(F.min("rate").alias("low"), F.max("rate").alias("high"))))
     return out.select("n", F.round(F.col("q")[0], 6).alias("q20"), F.round(F.col("q")[2], 6).alias("q80"), F.round("low", 6).alias("low"), F.round(F.col("q")[1], 6).alias("middle"), F.round("high", 6).alias("high"))
 
 
@@ -247,7 +247,10 @@ def ordered_output(spark, sf):
 
 @query("value_summary", "SELECT event_type, min(value) AS low, round(quantile_cont(value, 0.5), 6) AS middle, max(value) AS high, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
 def value_summary(spark, sf):
-    return table(spark, sf, "events").groupBy("event_type").agg(F.min("value").alias("low"), F.round(F.percentile("value", F.lit(0.5)), 6).alias("middle"), F.max("value").alias("high"), F.count_distinct("user_id").alias("users"))
+    events = table(spark, sf, "events")
+    ends = events.groupBy("event_type").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count_distinct("user_id").alias("users"))
+    middle = calibrate.quantiles(events, ["event_type"], "value", [0.5]).select("event_type", F.round(F.col("q")[0], 6).alias("middle"))
+    return ends.join(middle, "event_type", "left").select("event_type", "low", "middle", "high", "users")
 
 
 _SECONDS = "epoch_us(ts) / 1000000.0"

@@ -77,7 +77,7 @@ def test_effort_gate(spark):
 
 def test_extreme_middle(spark):
     df = spark.createDataFrame([(float(k),) for k in range(1, 11)], "v double")
-    got = {r["v"]: r["tier"] for r in calibrate.with_tiers(df, "v", calibrate.EXTREME_MIDDLE).collect()}
+    got = {r["v"]: r["tier"] for r in calibrate.with_tiers(df, "v", calibrate.Tiers(0.20, 0.80, (0.40, 0.60), 10)).collect()}
     assert {k for k, t in got.items() if t == "slow"} == {1, 2} and {k for k, t in got.items() if t == "normal"} == {5, 6} and {k for k, t in got.items() if t == "fast"} == {9, 10}
     with pytest.raises(ValueError):
         calibrate.check_boundaries(calibrate.boundaries(df, "v", calibrate.EXTREME_MIDDLE), calibrate.EXTREME_MIDDLE)
@@ -174,3 +174,50 @@ def test_ordinals_and_shards(spark):
     assert sorted(r["line"] for r in rows.shard(df, "ordinal", 3, 1).collect()) == [1, 4, 7]
     with pytest.raises(ValueError):
         rows.shard(df, "ordinal", 3, 3)
+
+
+def test_exact_quantiles_by_rank(spark):
+    """Against numpy: groups of all sizes, one with most rows and many equal values, nulls and a null group."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = {"hot": rng.integers(0, 40, 4000).astype(float), "one": np.array([2.5]), None: rng.random(7), "two": np.array([1.0, 4.0])}
+    rows_ = [(g, float(v)) for g, vs in values.items() for v in vs] + [("hot", None), ("none", None)]
+    levels = (0.0, 0.2, 1 / 3, 0.5, 0.9, 1.0)
+    got = {r["g"]: r for r in calibrate.quantiles(spark.createDataFrame(rows_, "g string, v double").repartition(5), ["g"], "v", levels).collect()}
+    assert set(got) == set(values)
+    for g, vs in values.items():
+        assert got[g]["n"] == len(vs) and got[g]["q"] == pytest.approx(np.quantile(vs, levels).tolist())
+    empty = calibrate.quantiles(spark.createDataFrame([], "v double"), [], "v", levels).first()
+    assert empty["n"] == 0 and set(empty["q"]) == {None}
+
+
+def test_calibration_refuses(spark):
+    """Too few records, or boundaries that don't rise, label nothing."""
+    few = spark.createDataFrame([(float(k),) for k in range(10)], "v double")
+    same = spark.createDataFrame([(1.0,)] * 200, "v double")
+    for df, word in ((few, "needed"), (same, "rise")):
+        with pytest.raises(ValueError, match=word):
+            calibrate.with_tiers(df, "v", calibrate.Tiers())
+    assert calibrate.with_tiers(few, "v", calibrate.Tiers(min_records=10)).where("tier = 'slow'").count() == 4
+
+
+def test_excluded_takes_any_types(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None)], "k string, other string").withColumn("record", F.parse_json(F.lit('{"z": 1}')))
+    left = rows.excluded(df, F.array("k", F.coalesce("other", F.lit("-"))), spark.createDataFrame([("y",), ("c",)], "key string"), "key")
+    assert left.columns == df.columns and [r["k"] for r in left.select("k").collect()] == ["a"]
+
+
+def test_fixed_reference_refuses(spark):
+    refs = spark.createDataFrame([("k", 1, "/a/ref.wav"), ("k", 2, "/a/later.wav")], "key string, line int, path string")
+    targets = spark.createDataFrame([(1, "/a/x.wav"), (2, None), (3, "/a/REF.wav"), (4, None)], "id int, audio string")
+
+    def attached(ids, key="k"):
+        return rows.attach_fixed(targets, refs, "key", key, "line", "path", F.col("id").isin(ids), "audio").orderBy("id").collect()
+
+    assert [r["ref_audio"] for r in attached([1])] == ["/a/ref.wav", None, None, None]
+    with pytest.raises(ValueError, match="no reference"):
+        attached([1], "other")
+    for ids, word in (([2], "no audio"), ([3], "is the fixed reference")):
+        with pytest.raises(Exception, match=word):
+            attached(ids)

@@ -42,7 +42,7 @@ def test_extreme_middle_candidates(spark, tmp_path):
 
 
 def test_gates_and_effort(spark, tmp_path):
-    records = [line(k, 3.0 if k != 20 else 1.0, rms=-30.0 + k) for k in range(21)]
+    records = [line(k, 3.0 + k / 100 if k != 20 else 1.0, rms=-30.0 + k) for k in range(21)]
     records += [line(0, 3.0, asr_cer=0.5), line(30, 3.0, asr_cer=0.5), line(31, 3.0, text="plain english words here now"), line(32, 3.0, group="lone"), line(33, 3.0, text="【speed_slow】你好世界"), line(34, 3.0, generated_by="ffmpeg"), line(35, 3.0, audio="drop")]
     df = scan(spark, tmp_path, records)
     plan = curation.CandidatePlan(sources=SOURCES, tiers=calibrate.Tiers(0.1, 0.9, (0.2, 0.8), 2))
