@@ -5,7 +5,7 @@ A document's tokens are the shingles of five words. Under a hash function, all s
 1. Documents are packed into compressed blocks (as for exact dedup). Of documents with the same text one stands for all, and the others are linked with it. Each block sends its windows' token hashes and hears which of them another document has too.
 2. Windows that are left and overlap in their document are taken together: their smallest tokens under two functions are a node's key, what they have in common is its stretch. So nodes meet only where ENOUGH functions agree, and a popular shingle alone joins nothing.
 3. The nodes of a key meet its first.
-4. Where that found no stretch at a node's place, all nodes of the key whose documents aren't linked yet meet. Larger keys are dealt into blocks, whose nodes' tokens are counted against each other, and keys beyond BLOCKS of them are parted by rare tokens that similar stretches must share.
+4. Where that found no stretch at a node's place, all nodes of the key whose documents aren't linked yet meet. Their tokens are counted against each other first, keys of many nodes are dealt into blocks, and keys beyond BLOCKS of them are parted by rare tokens that similar stretches must share.
 5. Stretches that meet are verified on the shingles themselves: shared shingles are chained over all their places in the other text, by the diagonals that most of them share, chains are split at their widest gaps and run on where both texts go on alike, until a stretch of MIN_WORDS words has Jaccard similarity SIMILARITY.
 
 So two documents that share a passage word for word are always of one class, as such a passage has its smallest tokens under every function, and of those of similarity s enough of HASHES functions agree with chance 0.993 at s = 0.8. Inside a class, copies aren't expanded into all pairs: its documents are held against the first ones of their keys.
@@ -33,8 +33,8 @@ TOKENS = MIN_WORDS - SHINGLE + 1
 DENSE = 30
 #: Tokens of a text that vote on a diagonal together.
 NEAR = 256
-#: Nodes of a key that meet directly, nodes that one block of a key holds, blocks of a key whose pairs are gone through, and tokens on either side of a node's place that are held against others'.
-FEW, BLOCK, BLOCKS, REACH = 4, 512, 16, 52
+#: Nodes that one block of a key holds, blocks of a key whose pairs are gone through, and tokens on either side of a node's place that are held against others'.
+BLOCK, BLOCKS, REACH = 512, 16, 52
 #: Kind of the messages that name a block's copies.
 COPY = 2
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -178,7 +178,7 @@ class Windows:
         return by_range(*distinct(self.key, self.ids[self.text])[:2], ranges)
 
     def meetings(self, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(key, text, first, last, place) of wanted windows of two functions that hold a common subsequence of TOKENS: the two smallest tokens are the key, the overlap is the stretch, place is the first function's smallest token. Several of a key in one text are one from the first to the last of them."""
+        """(key, text, first, last, place) of wanted windows of two functions that hold a common subsequence of TOKENS: the two smallest tokens are the key, the overlap is the stretch, place is the first function's smallest token. Several of a key in one text are one from the first to the last of them, with place -1."""
         text, lo, c, hi, f, key = (x[wanted] for x in (self.text, self.lo, self.c, self.hi, self.function, self.key))
         # windows of a token that comes again before a smaller one does: the first holds all, its smallest token stands anywhere from c to far
         order = np.lexsort((c, key, f, text))
@@ -210,7 +210,8 @@ class Windows:
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (both[1:] != both[:-1])
         at = np.flatnonzero(new)
-        return both[at], text[at], first[at], np.maximum.reduceat(last, at) if len(at) else last, place[at]
+        several = np.diff(np.append(at, len(new))) > 1
+        return both[at], text[at], first[at], np.maximum.reduceat(last, at) if len(at) else last, np.where(several, -1, place[at])
 
 
 def _copies_in(messages: pa.Table) -> np.ndarray:
@@ -477,16 +478,15 @@ def _star(nodes: DataFrame, paths: dict[str, str]) -> DataFrame:
 
 
 def _overlaps(batches):
-    """Of rows (key, lo, hi, part, label, row, first, last, near) sorted by key, lo and hi: pairs of rows of a run of equal (key, lo, hi) that differ in their label and have of the tokens about their places DENSE in common (where near is given)."""
+    """Of rows (key, lo, hi, part, label, row, first, last, near) sorted by key, lo and hi: pairs of a row of part 0 and one of part 1 or 2 of a run of equal (key, lo, hi) that differ in their label and have of the tokens about their places DENSE in common (where near is given). Part 2 are rows that stand in part 0 as well."""
     held, names = None, ["a", "b", *_STRETCHES, "key"]
 
     def pairs(cols):
-        _, lo, hi, part, label, row, first, last, near = cols
+        _, _, _, part, label, row, first, last, near = cols
         n = len(row)
-        i, j = np.triu_indices(n, 1)
-        ok = label[i] != label[j]
-        if lo[0] != hi[0]:
-            ok &= part[i] != part[j]
+        i, j = np.flatnonzero(part == 0), np.flatnonzero(part > 0)
+        i, j = np.repeat(i, len(j)), np.tile(j, len(i))
+        ok = (label[i] != label[j]) & ((part[j] == 1) | (row[i] > row[j]))
         i, j = i[ok], j[ok]
         if len(i) and near[0] is not None:
             own = [np.unique(np.frombuffer(x, "<u4")) for x in near]
@@ -510,7 +510,8 @@ def _overlaps(batches):
             while len(idx):
                 idx = idx[idx + d < len(token)]
                 idx = idx[token[idx + d] == token[idx]]
-                flat += np.bincount(who[idx] * n + who[idx + d], minlength=n * n)
+                both = np.bincount(who[idx] * n + who[idx + d], minlength=n * n)
+                flat += both + both.reshape(n, n).T.reshape(-1)
                 d += 1
             ok = common[i, j] >= DENSE
             i, j = i[ok], j[ok]
@@ -542,11 +543,18 @@ def _overlaps(batches):
         yield from runs(held)
 
 
-def _met(nodes: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
-    """Pairs (a, b and their stretches) of nodes (key, row, first, last, label, near) of a key that differ in their label. sizes: (key, n). A key of many nodes is dealt into blocks; each pair of blocks is work of its own."""
-    parted = nodes.join(sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "key")
-    parted = parted.withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("parts").cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = parted.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "label", "row", "first", "last", "near")
+def _met(nodes: DataFrame, block: int) -> DataFrame:
+    """Pairs (a, b and their stretches) of nodes (key, row, first, last, label, near) of a key that differ in their label. The nodes that haven't the key's most frequent label are dealt into blocks, and so are all; each pair of such blocks is work of its own. So a large class of copies that a few others meet goes once through each block of the few."""
+    counts = nodes.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = F.max(F.struct("n", "label"))
+    sizes = counts.groupBy("key").agg(F.sum("n").alias("n"), most["label"].alias("major"), (F.sum("n") - most["n"]).alias("m")).where("m > 0")
+    sizes = cut(sizes.select("key", "major", F.ceil(F.col("n") / block).cast("int").alias("all"), F.ceil(F.col("m") / block).cast("int").alias("few")))
+    told = nodes.join(sizes, "key").withColumn("h", F.xxhash64("row", "first")).withColumn("minor", F.col("label") != F.col("major"))
+    own = [F.pmod("h", F.col(c).cast("long")).cast("int") for c in ("few", "all")]
+    left = told.where("minor").withColumn("lo", own[0]).withColumn("hi", F.explode(F.sequence(F.lit(0), F.col("all") - 1))).withColumn("part", F.lit(0))
+    right = told.withColumn("hi", own[1]).withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).withColumn("part", F.when(F.col("minor"), 2).otherwise(1))
+    names = ("key", "lo", "hi", "part", "label", "row", "first", "last", "near")
+    dealt = left.select(*names).unionByName(right.select(*names))
     return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_overlaps, "a long, b long, a_lo int, a_hi int, b_lo int, b_hi int, key long")
 
 
@@ -570,9 +578,10 @@ def _rare_keys(nodes: DataFrame, paths: dict[str, str]) -> DataFrame:
 
 
 def _near(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The nodes with the tokens about their places (near)."""
-    low = F.greatest(F.col("place") - REACH, F.lit(0))
-    return nodes.join(tokens.select("row", "tokens"), "row").withColumn("near", F.substring("tokens", 4 * low + 1, 4 * (F.col("place") + REACH - low + 1))).drop("tokens")
+    """The nodes with the tokens about their places (near), or all of their stretch if they have several."""
+    low = F.when(F.col("place") < 0, F.col("first")).otherwise(F.greatest(F.col("place") - REACH, F.lit(0)))
+    high = F.when(F.col("place") < 0, F.col("last")).otherwise(F.col("place") + REACH)
+    return nodes.join(tokens.select("row", "tokens"), "row").withColumn("near", F.substring("tokens", 4 * low + 1, 4 * (high - low + 1))).drop("tokens")
 
 
 def copies(packed: DataFrame) -> DataFrame:
@@ -586,8 +595,8 @@ def _all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK) -> DataFrame:
-    """doc_id, start_word, end_word (exclusive), the same of the other document, similarity, and class_id of every verified stretch. few: nodes of a key that meet without a look at their tokens first; block: nodes of a key in one task."""
+def near_duplicate_passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id, start_word, end_word (exclusive), the same of the other document, similarity, and class_id of every verified stretch. block: nodes of a key in one task, about."""
     spark, paths = docs.sparkSession, {}
     packed = stored(blocks(docs, MIN_WORDS), "passages", paths)
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
@@ -615,11 +624,10 @@ def near_duplicate_passages(docs: DataFrame, few: int = FEW, block: int = BLOCK)
     left = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
     left = cut(left.select("key", "n"))
     apart = held.join(left, "key")
-    met = _met(apart.where(F.col("n") <= few).drop("n").withColumn("near", F.lit(None).cast("binary")), left.where(F.col("n") <= few), block)
-    near = stored(_near(apart.where(F.col("n") > few), tokens), "near", paths)
-    met = met.unionByName(_met(near.where(F.col("n") <= BLOCKS * block).drop("n"), left.where(F.col("n").between(few + 1, BLOCKS * block)), block))
+    near = stored(_near(apart, tokens), "near", paths)
+    met = _met(near.where(F.col("n") <= BLOCKS * block).drop("n"), block)
     rare = stored(_rare_keys(near.where(F.col("n") > BLOCKS * block).drop("n"), paths), "rare", paths)
-    met = met.unionByName(_met(rare, rare.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), block))
+    met = met.unionByName(_met(rare, block))
     later = stored(_by_pair(met), "later", paths)
     forget(spark, paths, "held", "near", "rare", "rare_tokens")
     spots = F.explode(F.arrays_zip("a_first", "a_last", "b_first", "b_last", "similarity")).alias("s")
