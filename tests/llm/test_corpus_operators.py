@@ -5,8 +5,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -584,6 +586,31 @@ def test_pipeline_near_copies(spark):
     assert joined and all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in joined)
 
 
+def test_similar_links_meet_once(spark):
+    """Texts that share several keys meet in the first of them alone, those that share a key by chance not at all, and no table stays behind."""
+    from tessera.llm import jaccard
+    from tessera.session import shared_folder
+
+    def met(texts):
+        _, _, keys, minima = jaccard._sets([t.encode() for t in texts])
+        keys[:, 7] = 7  # a key that all share
+        rows = sorted((int(k), 0, 0, 0, n, n, keys[n].tobytes() + minima[n].tobytes()) for n in range(len(texts)) for k in keys.view(np.int64)[n])
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["key", "lo", "hi", "part", "node", "root", "mark"])
+        return [r for b in jaccard._meet(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+
+    words = [f"w{k}" for k in range(200)]
+    alike = [" ".join([*words[:195], f"end{k}"]) for k in range(6)]
+    others = [" ".join([*words[:40], *(f"own{k}x{n}" for n in range(160))]) for k in range(20)]
+    assert sorted(met([*alike, *others])) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    texts = spark.createDataFrame(list(enumerate([*alike, *others])), "fp long, text string")
+    links = {frozenset(r) for r in jaccard.similar_links(texts).collect()}
+    assert {n for k in links for n in k} == set(range(6))
+    left = {p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p.name not in before}
+    assert not left & {"sets", "shared", "met", "named", "pairs", "bands"}
+
+
 def test_pipeline(spark, corpus, tmp_path):
     import corpus_pipeline
 
