@@ -2,7 +2,7 @@
 
 1. Texts of one shingle set are one node. A node has BANDS keys of ROWS minima each; two of similarity 0.8 share a key with chance 1 - (1 - 0.8^4)^25, over 0.99999.
 2. Each node meets the smallest of every key it has, and what met is verified on the sets themselves.
-3. Nodes that share a key and aren't joined by links yet all meet, keys of many nodes dealt into blocks. Pairs with ALIKE of their BANDS * ROWS minima in common (at similarity 0.8 all but about two in a million) are verified likewise, each from the first key that it shares. So a pair is left out only where verified links join it already or its minima differ too much.
+3. Nodes that share a key and aren't joined by links yet all meet, keys of many nodes dealt into blocks. Pairs with ALIKE of their BANDS * ROWS minima in common (at similarity 0.8 all but about 1.3 in a million) are verified likewise, each from the first key that it shares. So a pair is left out only where verified links join it already or its minima differ too much.
 
 Defined cases: a text of under five words has no shingles and no links; words are taken as for passages.
 """
