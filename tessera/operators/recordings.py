@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +70,55 @@ def match_characters(expected: list[str], observed: list[dict], duration: float)
     return out
 
 
+def _codes(values: pa.Array, known: dict[str, int], missing: int | None) -> np.ndarray:
+    """Numbers of lower-cased characters, the same for the same ones; null is missing, or the word none."""
+    coded = values.dictionary_encode("encode")
+    numbers = [missing if v is None and missing is not None else known.setdefault(str(v).lower(), len(known)) for v in coded.dictionary.to_pylist()]
+    return np.array(numbers, np.int64)[coded.indices.to_numpy()]
+
+
+def _aligned(expected: pa.Array, observed: pa.Array, duration: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """match_characters of many rows in columns: a character takes no object of its own, and rows that are seen as expected aren't matched in Python."""
+    a_at, b_at = (np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False))]).astype(np.int64) for c in (expected, observed))
+    characters, seen = expected.flatten().cast(pa.string()), observed.flatten()
+    fields = dict(zip([seen.type.field(k).name for k in range(seen.type.num_fields)], seen.flatten(), strict=True))
+    known: dict[str, int] = {}
+    a, b = _codes(characters, known, -1), _codes(fields["character"], known, None)
+    b[seen.is_null().to_numpy(zero_copy_only=False)] = -2
+    at = np.full(len(a), -1, np.int64)
+    for a0, a1, b0, b1 in zip(*(x.tolist() for x in (a_at[:-1], a_at[1:], b_at[:-1], b_at[1:])), strict=True):
+        x, y = a[a0:a1], b[b0:b1]
+        if len(x) == len(y) and (x == y).all():
+            at[a0:a1] = np.arange(b0, b1)
+        elif len(x) and len(y):
+            for block in difflib.SequenceMatcher(None, x.tolist(), y.tolist(), False).get_matching_blocks():
+                at[a0 + block.a : a0 + block.a + block.size] = np.arange(b0 + block.b, b0 + block.b + block.size)
+    taken = pa.array(at, mask=at < 0)
+    none = pa.nulls(len(seen), pa.float64())
+    score, start, end = (fields.get(n, none).cast(pa.float64()).take(taken) for n in ("score", "start", "end"))
+    most = np.repeat(duration.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False), np.diff(a_at))
+    s, e = (np.where(x < 0, 0.0, x) for x in (start.to_numpy(zero_copy_only=False), end.to_numpy(zero_copy_only=False)))
+    s, e = np.where(most < s, most, s), np.where(most < e, most, e)
+    ok = e > s  # null is nan here, which no comparison holds for
+    index = np.arange(len(a)) - np.repeat(a_at[:-1], np.diff(a_at))
+    rows = pa.StructArray.from_arrays([pa.array(index), characters, pa.array(s, mask=~ok), pa.array(e, mask=~ok), score], ["index", "character", "start", "end", "score"])
+    timed = np.concatenate([[0], np.cumsum(ok)])
+    return pa.ListArray.from_arrays(pa.array(a_at, pa.int32()), rows), pa.array(timed[a_at[1:]] - timed[a_at[:-1]], pa.int64())
+
+
+#: Expected and observed characters that are aligned at once, but for a row that has more; a batch can hold millions.
+_PIECE = 1 << 16
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, _PIECE characters at a time."""
+    size = sum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[1:3])
+    turn = (np.cumsum(size) - size) // _PIECE
+    cuts = [*np.flatnonzero(np.diff(turn, prepend=-1)).tolist(), batch.num_rows]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(low, high - low)
+
+
 _CHARACTER = "index: bigint, character: string, start: double, end: double, score: double"
 
 
@@ -77,9 +127,8 @@ def align_characters(df: DataFrame, key: str, expected: str, observed: str, dura
 
     def run(batches):
         for batch in batches:
-            rows = [match_characters(e or [], o or [], d or 0.0) for e, o, d in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
-            kind = pa.list_(pa.struct([("index", pa.int64()), ("character", pa.string()), ("start", pa.float64()), ("end", pa.float64()), ("score", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind), pa.array([sum(c["start"] is not None for c in r) for r in rows], pa.int64())], [key, "characters", "timed"])
+            for piece in _pieces(batch):
+                yield pa.RecordBatch.from_arrays([piece.column(0), *_aligned(*piece.columns[1:])], [key, "characters", "timed"])
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, expected, observed, duration).mapInArrow(run, f"`{key}` {kind}, characters array<struct<{_CHARACTER}>>, timed long")

@@ -509,9 +509,9 @@ def audio_measures(spark, sf):
 def character_alignment(spark, sf):
     from tessera.operators import recordings
 
-    units = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
-    seen = F.transform(units, lambda x, k: F.struct(F.lower(x).alias("character"), (k * 0.1).cast("double").alias("start"), (k * 0.1 + 0.1).cast("double").alias("end"), F.lit(1.0).alias("score")))
-    docs = table(spark, sf, "documents").select("doc_id", units.alias("e"), seen.alias("o"), F.lit(1e9).alias("d"))
+    units = table(spark, sf, "documents").select("doc_id", F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)).alias("e"))
+    seen = F.transform("e", lambda x, k: F.struct(F.lower(x).alias("character"), (k * 0.1).cast("double").alias("start"), (k * 0.1 + 0.1).cast("double").alias("end"), F.lit(1.0).alias("score")))
+    docs = units.select("doc_id", "e", seen.alias("o"), F.lit(1e9).alias("d"))
     return recordings.align_characters(docs, "doc_id", "e", "o", "d").select("doc_id", F.col("timed").alias("n"))
 
 

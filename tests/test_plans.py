@@ -166,6 +166,31 @@ def test_character_alignment(spark):
     assert got[1]["timed"] == 3 and got[2]["timed"] == 0
 
 
+def test_alignment_is_bounded_and_the_same_in_columns():
+    import random
+
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    kind = pa.list_(pa.struct([("character", pa.string()), *((n, pa.float64()) for n in ("start", "end", "score"))]))
+    number = lambda: rnd.choice([None, math.nan, math.inf, -1.0, 0.0, rnd.random() * 9])
+    rows_ = []
+    for k in range(600):
+        e = [rnd.choice([*"aAbBcCİßΣ", "None"]) for _ in range(rnd.randrange(9))]
+        seen = e if k % 3 == 0 else [rnd.choice([c, c, "x", None]) for c in e] if k % 3 == 1 else [rnd.choice("abc") for _ in range(rnd.randrange(9))]
+        o = [dict(character=c, start=number(), end=number(), score=rnd.choice([None, 0.5])) for c in seen]
+        rows_.append((None if k % 50 == 1 else e, None if k % 50 == 2 else o, rnd.choice([None, math.nan, 0.0, 3.0, 8.0])))
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows_, strict=True), (pa.list_(pa.string()), kind, pa.float64()), strict=True)]
+    for low in (0, 7):
+        got, timed = recordings._aligned(*(c.slice(low) for c in columns))
+        want = [recordings.match_characters(e or [], o or [], d or 0.0) for e, o, d in rows_[low:]]
+        assert repr(got.to_pylist()) == repr(want) and timed.to_pylist() == [sum(c["start"] is not None for c in w) for w in want]
+    many = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array([["a"] * 50] * 5000), pa.nulls(5000, kind)], ["k", "e", "o"])
+    parts = list(recordings._pieces(many))
+    assert max(50 * p.num_rows for p in parts) < recordings._PIECE + 50 and [k for p in parts for k in p.column(0).to_pylist()] == list(range(5000))
+    assert not list(recordings._pieces(many.slice(0, 0)))
+
+
 def test_final_status(spark):
     df = spark.createDataFrame([("ok", "ok"), ("bad", "ok"), ("ok", "none")], "a string, b string")
     status, error = gates.final_status([("asr", F.col("a"), F.lit(None).cast("string")), ("alignment", F.col("b"), F.lit(""))], "alignment")
