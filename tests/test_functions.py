@@ -57,6 +57,32 @@ def test_error_rate(spark):
     assert [r[0] for r in df.select(text.character_error_rate(F.col("a"), F.col("b"))).collect()] == [0.5, None, 1.0]
 
 
+def test_edit_distance_is_exact_and_takes_no_step_for_each_pair():
+    import random
+    import time
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rnd = random.Random(5)
+    for k in range(300):
+        letters = ("ab", "abc de", "aé你𝄞x")[k % 3]
+        a, b = ("".join(rnd.choices(letters, k=rnd.choice([0, 1, 2, 29, 30, 31, 63, 64, 65, 90]))) for _ in range(2))
+        assert text.edit_distance(a, b) == plain(a, b)
+    a, b = ("".join(rnd.choices("abcdefgh ", k=n)) for n in (1500, 1100))
+    assert text.edit_distance(a, b) == plain(a, b)
+    a = "".join(rnd.choices("abcdefgh ", k=100_000))
+    began = time.process_time()
+    assert text.edit_distance(a, a[:50_000] + "xyz" + a[50_001:]) == 3  # 10,000,000,000 pairs
+    assert time.process_time() - began < 120
+
+
 def test_finite(spark):
     df = spark.createDataFrame([("1.5",), ("nan",), ("inf",), ("x",), (None,)], "t string")
     assert [r[0] for r in df.select(numbers.finite(F.col("t"))).collect()] == [1.5, None, None, None, None]
