@@ -34,15 +34,35 @@ class Tiers:
 EXTREME_MIDDLE = Tiers(0.20, 0.80, (0.40, 0.60))
 
 
+def counted(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Each group's values (_g0 and so on, _v) and how often they come (_c), null too, dealt out in ranges (_p) and stored."""
+    g = [F.col(c).alias(f"_g{k}") for k, c in enumerate(group)]
+    return _ranged(df.groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")), len(group))
+
+
+def _ranged(counts: DataFrame, groups: int) -> DataFrame:
+    return cut(counts.repartitionByRange(*(f"_g{k}" for k in range(groups)), "_v").withColumn("_p", F.spark_partition_id()))
+
+
+def counted_metrics(df: DataFrame, group: str, metrics: list[str]) -> DataFrame:
+    """counted() of all metrics in one pass, as groups of their own: _g0 is the group, _g1 the metric."""
+    each = df.select(F.col(group).alias("_g0"), F.posexplode(F.array(*(F.col(m).cast("double") for m in metrics))).alias("_at", "_v"))
+    counts = each.groupBy("_g0", "_at", "_v").agg(F.count(F.lit(1)).alias("_c"))  # a metric is a number until its values are counted
+    return _ranged(counts.select("_g0", F.get(F.array(*map(F.lit, metrics)), F.col("_at")).alias("_g1"), "_v", "_c"), 2)
+
+
 def quantiles(df: DataFrame, group: list[str], value: str, levels) -> DataFrame:
     """group, n and q: the exact quantiles of each group's values, linear between ranks; without groups one row.
 
     Values are counted, dealt out in ranges and numbered within them; ranks follow from the ranges' sums. So neither the values of a large group nor the rows of a frequent value meet in one task.
     """
-    g = [F.col(c).alias(f"_g{k}") for k, c in enumerate(group)]
+    return quantiles_of(counted(df.where(F.col(value).isNotNull()), group, value), group, levels)
+
+
+def quantiles_of(counts: DataFrame, group: list[str], levels) -> DataFrame:
+    """quantiles() of values that are counted already."""
     keys = [f"_g{k}" for k in range(len(group))]
-    counted = df.where(F.col(value).isNotNull()).groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = cut(counted.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id()))
+    ranged = counts.where("_v IS NOT NULL")
     sums = ranged.groupBy(*keys, "_p").agg(F.sum("_c").alias("_t"))
     whole = W.partitionBy(*keys)
     sums = sums.withColumn("_b", F.sum("_t").over(whole.orderBy("_p")) - F.col("_t")).withColumn("_n", F.sum("_t").over(whole)).drop("_t")
@@ -80,9 +100,13 @@ def speed_tier(value: Column, q: Column, banded: bool) -> Column:
     return F.when(value.isNull(), None).when(value <= F.get(q, F.lit(0)), "slow").when(value >= top, "fast").when(middle, "normal")
 
 
-def with_tiers(df: DataFrame, value: str, tiers: Tiers, tier: str = "tier", calibrate: Column | None = None) -> DataFrame:
-    """The rows with their tier; boundaries come from the rows where calibrate holds. Fails with too few of these, or if boundaries don't rise."""
-    q = check_boundaries(boundaries(df if calibrate is None else df.where(calibrate), value, tiers), tiers)
+def with_tiers(df: DataFrame, value: str, tiers: Tiers, tier: str = "tier", calibrate: Column | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """The rows with their tier; boundaries come from the rows where calibrate holds, or from the value's counts in counted_metrics(). Fails with too few of these, or if boundaries don't rise."""
+    if counts is None:
+        found = boundaries(df if calibrate is None else df.where(calibrate), value, tiers)
+    else:
+        found = quantiles_of(_ranged(counts.where(F.col("_g1") == value).groupBy("_v").agg(F.sum("_c").alias("_c")), 0), [], tiers.levels)
+    q = check_boundaries(found, tiers)
     return df.withColumn(tier, speed_tier(F.col(value), F.array(*map(F.lit, q)), tiers.band is not None))
 
 
@@ -101,13 +125,12 @@ class GroupTiers:
     spans: tuple[tuple[tuple[str, ...], float, str], ...] = ()
 
 
-def group_thresholds(df: DataFrame, group: str, metrics: list[str], tiers: GroupTiers) -> DataFrame:
-    """group, n, an array of thresholds for each metric, and reason: why the group has none."""
-    # all metrics in one pass, as groups of their own
-    each = df.select(F.col(group).alias("_group"), F.explode(F.array(*(F.struct(F.lit(m).alias("m"), F.col(m).cast("double").alias("x")) for m in metrics))).alias("_s"))
-    q = quantiles(each.select("_group", F.col("_s.m").alias("_m"), F.col("_s.x").alias("_x")), ["_group", "_m"], "_x", tiers.levels)
+def group_thresholds(df: DataFrame, group: str, metrics: list[str], tiers: GroupTiers, counts: DataFrame | None = None) -> DataFrame:
+    """group, n, an array of thresholds for each metric, and reason: why the group has none. counts: counted_metrics() of df, if there already."""
+    counts = counted_metrics(df, group, metrics) if counts is None else counts
+    q = quantiles_of(counts, ["_group", "_m"], tiers.levels)
     wide = q.groupBy("_group").agg(*(F.max(F.when(F.col("_m") == m, F.col("q"))).alias(f"q_{m}") for m in metrics))
-    sizes = df.groupBy(F.col(group).alias("_size_of")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.where(F.col("_g1") == metrics[0]).groupBy(F.col("_g0").alias("_size_of")).agg(F.sum("_c").alias("n"))
     out = sizes.join(wide, F.col("_size_of").eqNullSafe(F.col("_group")), "left").select(F.col("_size_of").alias(group), "n", *(f"q_{m}" for m in metrics))
     rules = [("group_too_small", F.col("n") < tiers.min_records)]
     for names, least, reason in tiers.spans:
@@ -125,9 +148,14 @@ def agreed_tier(metrics: list[str]) -> Column:
     return F.when(soft, "soft").when(strong, "strong").when(normal, "normal")
 
 
-def with_group_tiers(df: DataFrame, group: str, metrics: list[str], tiers: GroupTiers, tier: str = "tier") -> DataFrame:
-    """The rows with their tier by their group's thresholds and tier_reason; a group's thresholds are a row, and the join picks its way by their number."""
-    t = group_thresholds(df, group, metrics, tiers).where("reason IS NULL").drop("n", "reason").withColumn("_found", F.lit(True))
+#: Groups of which the thresholds (16 numbers for four metrics) go to every task; more are joined as the planner likes.
+_FEW_GROUPS = 10_000
+
+
+def with_group_tiers(df: DataFrame, group: str, metrics: list[str], tiers: GroupTiers, tier: str = "tier", counts: DataFrame | None = None) -> DataFrame:
+    """The rows with their tier by their group's thresholds and tier_reason; a group's thresholds are a row, stored and counted, so that rows aren't dealt out to meet a few of them. counts: as in group_thresholds()."""
+    t = cut(group_thresholds(df, group, metrics, tiers, counts).where("reason IS NULL").drop("n", "reason").withColumn("_found", F.lit(True)))
+    t = F.broadcast(t) if t.count() <= _FEW_GROUPS else t
     out = df.join(t, group, "left").withColumn(tier, agreed_tier(metrics))
     reason = first_reason(("effort_group_without_threshold", F.col("_found").isNull()), ("effort_metric_disagreement_or_ambiguous", F.col(tier).isNull()))
     return out.withColumn("tier_reason", reason).drop("_found", *(f"q_{m}" for m in metrics))

@@ -114,6 +114,10 @@ def group_thresholds(spark, sf):
     return t.select("g", "n", *(F.round(F.get(f"q_{m}", F.lit(k)), 4).alias(f"{m}_{k}") for m in _METRICS for k in range(4)))
 
 
+#: What the SQL's inner join with the thresholds keeps.
+_HAS_THRESHOLD = "tier_reason IS DISTINCT FROM 'effort_group_without_threshold'"
+
+
 def _all(test: str) -> str:
     return " AND ".join(test.format(m=m) for m in _METRICS)
 
@@ -123,7 +127,8 @@ _AGREED = f"CASE WHEN {_all('{m} <= q_{m}[1]')} THEN 'soft' WHEN {_all('{m} >= q
 
 @query("effort_agreement", f"WITH e AS ({_EFFORT}), t AS ({_THRESHOLDS}) SELECT g, {_AGREED} AS tier, count(*) AS n FROM e JOIN t USING (g) GROUP BY ALL")
 def effort_agreement(spark, sf):
-    return calibrate.with_group_tiers(effort_rows(spark, sf), "g", _METRICS, _GROUPS).groupBy("g", "tier").agg(F.count(F.lit(1)).alias("n"))
+    out = calibrate.with_group_tiers(effort_rows(spark, sf), "g", _METRICS, _GROUPS).where(_HAS_THRESHOLD)
+    return out.groupBy("g", "tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -142,10 +147,12 @@ def effort_rejections(spark, sf):
     "CASE WHEN effort IS NULL THEN 'effort_metric_disagreement_or_ambiguous' WHEN speed IS NULL THEN 'effort_speed_transition_band_excluded' WHEN speed <> 'normal' THEN 'effort_requires_normal_speed' END AS effort_reason, count(*) AS n FROM l GROUP BY ALL",
 )
 def conditioned_controls(spark, sf):
-    out = calibrate.with_group_tiers(effort_rows(spark, sf), "g", _METRICS, _GROUPS, "effort")
-    out = calibrate.with_tiers(out, "m2", calibrate.EXTREME_MIDDLE, "speed")
+    lines = effort_rows(spark, sf)
+    counts = calibrate.counted_metrics(lines, "g", _METRICS)
+    out = calibrate.with_group_tiers(lines, "g", _METRICS, _GROUPS, "effort", counts)
+    out = calibrate.with_tiers(out, "m2", calibrate.EXTREME_MIDDLE, "speed", counts=counts)
     speed, effort = calibrate.conditioned(F.col("speed"), F.col("effort"), True)
-    return out.groupBy(speed.alias("speed_reason"), effort.alias("effort_reason")).agg(F.count(F.lit(1)).alias("n"))
+    return out.where(_HAS_THRESHOLD).groupBy(speed.alias("speed_reason"), effort.alias("effort_reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("dedup_keep_first", "SELECT doc_id, source, lang FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")

@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,3 +222,48 @@ def test_fixed_reference_refuses(spark):
     for ids, word in (([2], "no audio"), ([3], "is the fixed reference")):
         with pytest.raises(Exception, match=word):
             attached(ids)
+
+
+def test_both_calibrations_read_the_rows_twice(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows_ = [("a" if k % 4 else "b", float(k), None if k % 7 == 0 else float(k % 90)) for k in range(800)] + [("few", 900.0 + k, None) for k in range(5)]
+    df = spark.createDataFrame(rows_, "g string, v double, w double")
+    slow = df.mapInArrow(seen, df.schema)
+    tiers = calibrate.GroupTiers()
+    counts = calibrate.counted_metrics(slow, "g", ["v", "w"])
+    out = calibrate.with_group_tiers(slow, "g", ["v", "w"], tiers, "effort", counts)
+    out = calibrate.with_tiers(out, "v", calibrate.EXTREME_MIDDLE, "speed", counts=counts)
+    got = {(r["g"], r["v"]): r for r in out.collect()}
+    assert len(got) == 805 and read.value == 2 * 805
+    q = calibrate.quantiles(df, [], "v", calibrate.EXTREME_MIDDLE.levels).first()["q"]
+    assert all((r["speed"] == "slow") == (r["v"] <= q[0]) and (r["speed"] == "fast") == (r["v"] >= q[3]) for r in got.values())
+    t = {r["g"]: r for r in calibrate.group_thresholds(df, "g", ["v", "w"], tiers).collect()}
+    assert {g: r["n"] for g, r in t.items()} == {"a": 600, "b": 200, "few": 5} and t["few"]["reason"] == "group_too_small" and t["few"]["q_w"] is None
+    for g in "ab":
+        for m in "vw":
+            values = [x for r in rows_ if r[0] == g and (x := r["gvw".index(m)]) is not None]
+            assert t[g][f"q_{m}"] == pytest.approx(np.quantile(values, tiers.levels).tolist(), abs=1e-9)
+    assert {r["tier_reason"] for r in got.values() if r["g"] == "few"} == {"effort_group_without_threshold"}
+
+
+def test_conditioned_controls_leave_out_groups_without_threshold(spark, tmp_path):
+    import duckdb
+
+    from tessera.plans import queries, registry  # noqa: F401
+
+    db = duckdb.connect()
+    db.execute("CREATE TABLE part AS SELECT k AS p_partkey, CASE WHEN k < 3 THEN 'few' ELSE 'many' END AS p_brand FROM range(100) r(k)")
+    db.execute("CREATE TABLE lineitem AS SELECT k % 100 AS l_partkey, (k % 50)::DOUBLE AS l_quantity, (k * 37 % 5000)::DOUBLE AS l_extendedprice, (k % 11) / 100.0::DOUBLE AS l_discount, (k % 9) / 100.0::DOUBLE AS l_tax FROM range(500) r(k)")
+    for name in ("part", "lineitem"):
+        db.execute(f"COPY {name} TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    for name in ("conditioned_controls", "effort_agreement"):
+        df = registry.QUERIES[name](spark, str(tmp_path))
+        out = db.execute(registry.ORACLES[name])
+        names = [c[0] for c in out.description]
+        assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(out.fetchall(), key=repr), name
